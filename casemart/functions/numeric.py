@@ -7,17 +7,19 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS_PER_HOUR = 3_600_000_000
+SECONDS_PER_HOUR = 3600
 
 
 def hours_between(start: Column, end: Column) -> Column:
-    """Hours from start to end as decimal(31,11).
+    """Hours from start to end as decimal(23,11).
 
-    A microsecond is 2.8e-10 hours, so eleven digits decide every comparison
-    with, and every rounding to, two digits as the exact quotient would.
+    The times have no zone and are subtracted as such, so the session's zone and
+    its clock changes play no part. A microsecond is 2.8e-10 hours: eleven digits
+    decide every comparison with, and every rounding to, two digits as the exact
+    quotient would.
     """
-    micros = F.timestamp_diff("MICROSECOND", start, end).cast("decimal(20,0)")
-    return micros / F.lit(MICROS_PER_HOUR).cast("decimal(10,0)")
+    seconds = (end - start).cast("interval second").cast("decimal(18,6)")
+    return seconds / F.lit(SECONDS_PER_HOUR).cast("decimal(4,0)")
 
 
 def _rounded_units(numerator: Column, denominator: Column, digits: int) -> Column:

@@ -12,7 +12,7 @@ import hashlib
 import threading
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ from casemart.sources.tickets import read_tickets
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-@dataclass(frozen=True)
+@dataclass
 class Prepared:
     """Landed raw tickets and the warehouse built from them."""
 
@@ -41,11 +41,12 @@ class Prepared:
     raw: DataFrame
     warehouse: Warehouse
 
-    @property
+    # Lazy frames, opened once so that each query does not list the files again.
+    @cached_property
     def staging(self) -> DataFrame:
         return self.warehouse.staging()
 
-    @property
+    @cached_property
     def star(self) -> Star:
         return self.warehouse.star()
 
@@ -80,6 +81,12 @@ def prepare(spark: SparkSession, folder: str) -> Prepared:
         return _prepared[key]
 
 
+def use(spark: SparkSession, folder: str, ready: Prepared) -> None:
+    """Let the queries on `folder` read tables that are already there."""
+    with _lock:
+        _prepared[spark.sparkContext.applicationId, folder] = ready
+
+
 def comparable(frame: DataFrame) -> DataFrame:
     """Decimals as doubles and dates as text, so that any engine's rows compare."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemart.schema import RAW, TIMESTAMP_FORMAT
+from casemart.schema import RAW
 
 # Where a row stood in the input: files by path, blocks by offset, rows as read.
 ARRIVAL = ["arrival_file", "arrival_block", "arrival_row"]
@@ -17,12 +17,17 @@ def read_tickets(spark: SparkSession, path: str, fmt: str = "parquet", **options
     Spark keeps no row order, so the position in the input is recorded here.
     Within one block rows are read in order by one task, so the increasing id
     orders them; blocks and files are ordered by the columns before it.
+
+    A CSV header must name the columns in order, and a value that does not parse
+    stops the read instead of becoming NULL; `mode="PERMISSIVE"` lets it pass.
+    Times may be written with a space or a T. CSV does not tell empty text from
+    missing text: both are read as NULL.
     """
     reader = spark.read.schema(RAW)
+    if fmt in ("csv", "json"):
+        reader = reader.option("mode", "FAILFAST")
     if fmt == "csv":
-        reader = reader.option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT)
-    elif fmt == "json":
-        reader = reader.option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        reader = reader.option("header", True).option("enforceSchema", False)
     return (
         reader.options(**options)
         .format(fmt)

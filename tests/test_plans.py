@@ -1,0 +1,118 @@
+"""The physical plans that large inputs depend on."""
+
+import re
+
+import pytest
+
+from casemart.operators import cleaning, drilldown, marts
+from casemart.operators.fact import build_fact
+from casemart.plans import catalogue
+from casemart.sources.derived import ARRIVAL, derive_tickets
+
+
+@pytest.fixture(scope="module")
+def ready(spark, folder):
+    return catalogue.prepare(spark, folder)
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(text, column):
+    """The columns read by the scans that read `column`."""
+    found = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    return [names for names in found if column in names]
+
+
+def full_plan(spark, frame):
+    before = spark.conf.get("spark.sql.maxMetadataStringLength", "100")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        return plan(frame)
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+
+
+def test_no_query_runs_python_or_multiplies_rows(spark, folder, ready):
+    for name, query in catalogue.all_queries().items():
+        if name == "pipeline_rerun_totals":
+            continue
+        text = plan(query(spark, folder))
+        for operator in ["Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"]:
+            assert operator not in text, (name, operator)
+
+
+def test_deduplication_limits_groups_before_the_shuffle(ready):
+    text = plan(cleaning.clean(ready.raw, ARRIVAL))
+    lines = text.splitlines()
+    partial = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line)
+    shuffle = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(ticket_number" in line)
+    # The plan is printed from the top: what runs first stands lower.
+    assert partial > shuffle
+    assert text.count("Exchange") == 1
+
+
+@pytest.mark.parametrize(
+    ("mart", "unused"),
+    [
+        (marts.operational_overview, ["ticket_number", "created_timestamp", "location_key", "target"]),
+        (marts.department_performance, ["ticket_number", "created_date_key", "location_key"]),
+        (marts.monthly_trends, ["ticket_number", "satisfaction_rating", "department_key"]),
+        (marts.geographic_distribution, ["ticket_number", "target_sla_hours", "status_key"]),
+        (marts.category_breakdown, ["ticket_number", "is_repeat_incident", "status_key"]),
+        (marts.backlog_aging, ["ticket_number", "resolution_time_hours", "location_key"]),
+    ],
+)
+def test_marts_read_few_columns_and_add_up_before_shuffling(spark, ready, mart, unused):
+    text = full_plan(spark, mart(ready.star))
+    (fact_scan,) = [
+        names
+        for names in re.findall(r"ReadSchema: struct<([^>]*)>", text)
+        if "created_date_key" in names or "resolution_time_hours" in names
+    ]
+    for column in unused:
+        assert column not in fact_scan
+    # The deepest shuffle, the one over the fact, carries partial aggregates.
+    below = text[text.rindex("Exchange hashpartitioning"):]
+    assert re.search(r"HashAggregate\(keys=\[.*_key.*\], functions=\[partial_", below)
+    assert "SortMergeJoin" not in text
+
+
+def test_fact_is_one_pass_over_staging(ready):
+    star = ready.star
+    fact = build_fact(
+        ready.staging, star.locations, star.request_types, star.departments, star.statuses
+    )
+    text = plan(fact)
+    assert text.count("BroadcastHashJoin") == 4
+    assert "Exchange hashpartitioning" not in text
+
+
+def test_large_dimensions_are_not_broadcast(spark, ready):
+    star = ready.star
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        fact = build_fact(
+            ready.staging, star.locations, star.request_types, star.departments, star.statuses
+        )
+        text = plan(fact)
+        rows = fact.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Broadcast" not in text and text.count("SortMergeJoin") == 4
+    assert rows == star.fact.count()
+
+
+def test_drilldown_filters_reach_the_dimension_scan(spark, ready):
+    chosen = drilldown.filter_star(ready.star, department="ASIA")
+    text = full_plan(spark, marts.geographic_distribution(chosen))
+    assert "EqualTo(department_name,ASIA)" in text
+    assert "LeftSemi" in text
+
+
+def test_derived_tickets_read_only_what_they_use(spark, folder):
+    text = full_plan(spark, derive_tickets(spark, folder))
+    for column in ["l_discount", "l_linestatus", "o_totalprice", "c_name", "c_acctbal", "p_name"]:
+        assert column not in " ".join(re.findall(r"ReadSchema: struct<([^>]*)>", text))
