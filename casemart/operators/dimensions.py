@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,13 +26,15 @@ DAYS_AFTER = 60
 def number_rows(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Add `name` = 1..n in the order of `order`, without one task seeing all rows.
 
-    The rows are sorted across partitions and checkpointed with an increasing id
-    whose high bits name the partition. The sizes of the partitions before it
-    then turn a row's place in its partition into its place in the table.
+    The rows are sorted across partitions and written with an increasing id whose
+    high bits name the partition. The sizes of the partitions before it then turn
+    a row's place in its partition into its place in the table.
     """
-    work_folder(rows.sparkSession)
-    placed = rows.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-    placed = placed.withColumns(
+    spark = rows.sparkSession
+    path = f"{work_folder(spark)}/casemart/sorted/{uuid.uuid4().hex}"
+    placed = rows.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path).withColumns(
         {"_part": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}
     )
     # One row per partition of the sort, however many rows the table has.

@@ -26,6 +26,10 @@ from casemart.operators.star import Star
 from casemart.schema import TABLES
 
 
+# The order of a month's rows: the keys that reports group by, few values first.
+FACT_ORDER = ["status_key", "department_key", "location_key", "request_type_key"]
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """One version of the warehouse."""
@@ -106,16 +110,18 @@ def build_dimensions(warehouse: Warehouse) -> None:
         write("dim_status", lambda: dimensions.dim_status(staging)),
     )
     tables = {name: warehouse.table(name) for name in TABLES if name.startswith("dim_")}
-    broken = check_unique(tables).filter("violations > 0").first()
-    if broken:
-        raise ValueError(f"{broken['rule']} has {broken['violations']} repeated keys")
+    # One row per rule.
+    for row in check_unique(tables).filter("violations > 0").collect():
+        raise ValueError(f"{row['rule']} has {row['violations']} repeated keys")
 
 
 def write_fact(warehouse: Warehouse, how: str = "inner") -> None:
     """Write the fact, one folder per month of creation.
 
     The rebalance hint gathers a month's rows into files of the advisory size,
-    and adaptive execution splits a month that is far larger than that.
+    and adaptive execution splits a month that is far larger than that. Writing
+    by month sorts by month anyway; sorting on by the keys turns them into runs,
+    which parquet stores in a fraction of the space.
     """
     star_dimensions = [
         warehouse.table(name)
@@ -126,6 +132,7 @@ def write_fact(warehouse: Warehouse, how: str = "inner") -> None:
     (
         fact.withColumn("created_month", month)
         .hint("rebalance", F.col("created_month"))
+        .sortWithinPartitions("created_month", *FACT_ORDER)
         .withColumns({"fact_id": F.monotonically_increasing_id(), "created_at": F.current_timestamp()})
         .write.mode("overwrite")
         .partitionBy("created_month")

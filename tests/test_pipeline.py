@@ -201,3 +201,18 @@ def test_pipeline_of_nothing(spark, tmp_path):
 
 def test_work_folder_is_the_one_the_session_names(spark):
     assert work_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from casemart.__main__ import main
+
+    late = {"ticket_number": "SR-9", "closed_date": None, "status": "Assigned", "division_name": None}
+    exports.write_tickets(raw(spark, *ROWS[:3], late), str(tmp_path / "in"))
+    house = str(tmp_path / "house")
+    main([str(tmp_path / "in"), house, "--format", "csv", "--as-of", "2025-02-01", "--keep-unmatched"])
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[0] == "4 tickets staged"
+    assert "[PASSED] Null Check: ticket_number: Found 0 nulls out of 4 rows" in lines
+    assert "[FAILED] lost tickets: 1 violations" in lines
+    assert "Total Requests Processed: 4" in lines
+    assert open_warehouse(spark, house).star().fact.count() == 4
