@@ -37,7 +37,8 @@ def number_rows(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     placed = spark.read.schema(placed.schema).parquet(path).withColumns(
         {"_part": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}
     )
-    # One row per partition of the sort, however many rows the table has.
+    # One row per partition of the sort, however many rows the table has: a bound
+    # that allows both the single-task sum and the broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_part")
@@ -45,7 +46,7 @@ def number_rows(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
         .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
     number = (F.col("_offset") + F.col("_place") + 1).cast("int").alias(name)
-    return placed.join(offsets, "_part").select(number, *rows.columns)
+    return placed.join(F.broadcast(offsets), "_part").select(number, *rows.columns)
 
 
 def _mean(column: str, digits: int) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from casemart.functions.numeric import total
 from casemart.functions.text import grouped_digits, place_label
+from casemart.operators.marts import AGE_CLASSES
 from casemart.operators.star import Star
 
 
@@ -138,6 +139,12 @@ def place_series(geography: DataFrame) -> DataFrame:
     return geography.select(label, _or_zero("total_requests"))
 
 
+def backlog_series(backlog: DataFrame) -> DataFrame:
+    """Label and tickets per age class, as charted."""
+    classes = [_or_zero(name) for name, _, _ in AGE_CLASSES]
+    return backlog.select(F.col("department_name").alias("label"), *classes)
+
+
 def headlines(overview: DataFrame) -> DataFrame:
     """The printed summary: one labelled text per figure of the overview."""
     # The labels and units of the summary.

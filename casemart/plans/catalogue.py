@@ -304,6 +304,11 @@ def all_queries() -> dict[str, Query]:
         "dash_place_series": _on_star(
             lambda star: drilldown.place_series(marts.geographic_distribution(star))
         ),
+        "dash_backlog_series": _on_star(
+            lambda star: drilldown.backlog_series(
+                marts.backlog_aging(star, AS_OF, by=["department_name"])
+            )
+        ),
         "drilldown_overview": _on_star(lambda star: marts.operational_overview(_chosen(star))),
         "drilldown_departments": _on_star(lambda star: marts.department_performance(_placed(star))),
         "drilldown_categories": _on_star(lambda star: marts.category_breakdown(_chosen(star))),

@@ -616,6 +616,12 @@ def oracle_queries() -> dict[str, str]:
             "select district_code || ' (' || neighborhood || ')' as label, total_requests "
             "from geography",
         ),
+        "dash_backlog_series": dim(
+            "open_tickets",
+            "select label, aging_0_to_3_days, aging_4_to_7_days, aging_8_to_14_days, "
+            f"aging_over_14_days from (select department_name as label, {_AGES} "
+            "from open_tickets group by all)",
+        ),
         "drilldown_overview": dim("fact", _on(_CHOSEN, "overview")),
         "drilldown_departments": dim("fact", _on(_PLACED, "performance")),
         "drilldown_categories": dim("fact", _on(_CHOSEN, "categories")),

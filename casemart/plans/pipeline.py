@@ -27,6 +27,7 @@ from casemart.plans.warehouse import (
     together,
     write_fact,
 )
+from casemart.session import sized_shuffles
 from casemart.sinks.exports import write_marts, write_payload
 from casemart.sources.tickets import ARRIVAL, read_tickets
 
@@ -56,12 +57,17 @@ def run_pipeline(
     """Clean, stage, audit, build the star, compute the marts, export, publish.
 
     `source` is a path read with `fmt`, or raw tickets with `arrival` columns.
+    For a path, shuffles are sized by its files; for a frame, by the session.
     The audit reports and does not stop the run. The new version is published
     last; running again replaces the current version and adds to nothing.
     """
-    tickets = read_tickets(spark, source, fmt) if isinstance(source, str) else source
+    if isinstance(source, str):
+        with sized_shuffles(spark, source):
+            return run_pipeline(
+                spark, read_tickets(spark, source, fmt), root, as_of, export, arrival=ARRIVAL, how=how
+            )
     warehouse = new_version(spark, root)
-    staged_rows = stage(warehouse, tickets, arrival)
+    staged_rows = stage(warehouse, source, arrival)
 
     def save(frame: DataFrame, name: str) -> DataFrame:
         frame.write.mode("overwrite").parquet(warehouse.path(name))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter on a large cluster; all of them are ordinary Spark options.
 CLUSTER_SETTINGS = {
@@ -22,12 +25,7 @@ CLUSTER_SETTINGS = {
 
 
 def session(app_name: str = "casemart", settings: dict[str, str] | None = None) -> SparkSession:
-    """A session with CLUSTER_SETTINGS, overridden by `settings`.
-
-    For 100 TB also raise spark.sql.adaptive.coalescePartitions.initialPartitionNum
-    (40,000 gives about 2.5 GB of raw text per shuffle partition); adaptive
-    execution merges the ones that turn out small.
-    """
+    """A session with CLUSTER_SETTINGS, overridden by `settings`."""
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**CLUSTER_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
@@ -49,3 +47,35 @@ def work_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
+
+
+# Shuffles start with one partition per this many input bytes, up to a number
+# that the driver can still track; beyond it partitions grow and sorts spill.
+BYTES_PER_PARTITION = 256 << 20
+MOST_PARTITIONS = 40_000
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, path: str) -> Iterator[int]:
+    """Size the shuffles of a block by the files under `path`.
+
+    Adaptive execution merges partitions that turn out small but never starts
+    with more than its initial number, which by default does not know the input.
+    The number is only raised, and left alone when the session sets it. The file
+    lengths come from the listing; no file is opened.
+    """
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    )
+    size = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = max(usual, min(-(-size // BYTES_PER_PARTITION), MOST_PARTITIONS))
+    ours = spark.conf.get(_INITIAL, None) is None
+    if ours:
+        spark.conf.set(_INITIAL, str(number))
+    try:
+        yield number
+    finally:
+        if ours:
+            spark.conf.unset(_INITIAL)

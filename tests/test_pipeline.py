@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from casemart import open_warehouse, run_pipeline
+from casemart import open_warehouse, run_pipeline, session
 from casemart.operators import marts
 from casemart.operators.cleaning import clean
 from casemart.plans import warehouse as plans
@@ -199,6 +199,23 @@ def test_pipeline_of_nothing(spark, tmp_path):
     assert run.marts[marts.VIEWS[0]].first()["total_requests"] == 0
 
 
+def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+    exports.write_tickets(raw(spark, *ROWS), str(tmp_path / "in"))
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with session.sized_shuffles(spark, str(tmp_path)) as number:
+        assert number == 8
+    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 10)
+    with session.sized_shuffles(spark, str(tmp_path)) as number:
+        assert 50 < number < 500 and spark.conf.get(setting) == str(number)
+        with session.sized_shuffles(spark, str(tmp_path)):
+            assert spark.conf.get(setting) == str(number)
+        assert spark.conf.get(setting) == str(number)
+    assert spark.conf.get(setting, None) is None
+    monkeypatch.setattr(session, "MOST_PARTITIONS", 20)
+    with session.sized_shuffles(spark, str(tmp_path)) as number:
+        assert number == 20
+
+
 def test_work_folder_is_the_one_the_session_names(spark):
     assert work_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
