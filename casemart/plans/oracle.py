@@ -26,7 +26,14 @@ _RAW = [
     "priority_level", "status", "district_code", "neighborhood", "zip_code",
     "latitude", "longitude", "satisfaction_rating", "is_repeat", "channel",
 ]
-_DECIMALS = ["target_sla_hours", "latitude", "longitude"]
+# Types that every client library hands over alike.
+_CASTS = {
+    "target_sla_hours": "double",
+    "latitude": "double",
+    "longitude": "double",
+    "satisfaction_rating": "double",
+    "is_repeat": "varchar",
+}
 
 
 def mean(measure: str, digits: int = 2) -> str:
@@ -44,11 +51,10 @@ def _strip(column: str) -> str:
     return f"trim({column}, {_WHITESPACE})"
 
 
-def _columns(prefix: str = "") -> str:
-    """The raw columns, decimals as doubles."""
+def _columns() -> str:
+    """The raw columns in comparable types."""
     return ", ".join(
-        f"cast({prefix}{name} as double) as {name}" if name in _DECIMALS else f"{prefix}{name}"
-        for name in _RAW
+        f"cast({name} as {_CASTS[name]}) as {name}" if name in _CASTS else name for name in _RAW
     )
 
 
@@ -312,12 +318,13 @@ def _full_audit(table: str) -> str:
 
 
 _FACT_SELECT = (
-    "ticket_number, created_date_key, closed_date_key, location_key, request_type_key, "
-    "department_key, status_key, created_timestamp, closed_timestamp, "
+    "ticket_number, created_date_key, cast(closed_date_key as double) as closed_date_key, "
+    "location_key, request_type_key, department_key, status_key, created_timestamp, closed_timestamp, "
     "cast(resolution_time_hours as double) as resolution_time_hours, "
     "cast(target_sla_hours as double) as target_sla_hours, "
     "cast(sla_variance_hours as double) as sla_variance_hours, "
-    "is_sla_breached, is_repeat_incident, satisfaction_rating"
+    "is_sla_breached, is_repeat_incident, "
+    "cast(satisfaction_rating as double) as satisfaction_rating"
 )
 
 # Tables of the star by stored name, with their keys and mandatory columns.
@@ -449,18 +456,22 @@ _HEADLINES = """
         union all select 8, 'Avg Satisfaction Score', avg_satisfaction_rating || ' / 5.0'
             from overview)"""
 
+_TRENDS = (
+    "select * replace (cast(prev_month_volume as double) as prev_month_volume) from trends"
+)
+
 _TOTALS = """
     select 'overview' as section, count(*) as records, cast(sum(total_requests) as bigint)
-        as tickets, cast(sum(total_sla_breaches) as bigint) as breaches from overview
+        as tickets, cast(sum(total_sla_breaches) as double) as breaches from overview
     union all select 'departments', count(*), cast(sum(total_tickets) as bigint),
-        cast(sum(sla_breach_count) as bigint) from performance
+        cast(sum(sla_breach_count) as double) from performance
     union all select 'monthly_trends', count(*), cast(sum(ticket_volume) as bigint),
-        cast(sum(sla_breaches) as bigint) from {trends}
+        cast(sum(sla_breaches) as double) from {trends}
     union all select 'geo_distribution', count(*), cast(sum(total_requests) as bigint),
-        cast(sum(sla_breaches) as bigint) from geography
+        cast(sum(sla_breaches) as double) from geography
     union all select 'categories', count(*), cast(sum(request_count) as bigint),
-        cast(sum(sla_breached_count) as bigint) from categories
-    union all select 'backlog_aging', count(*), cast(sum(n) as bigint), cast(null as bigint)
+        cast(sum(sla_breached_count) as double) from categories
+    union all select 'backlog_aging', count(*), cast(sum(n) as bigint), cast(null as double)
         from (select count(*) as n from open_tickets group by department_name, request_category)"""
 _MARTS = "overview performance trends geography categories open_tickets"
 
@@ -569,10 +580,8 @@ def oracle_queries() -> dict[str, str]:
             f"sla_breach_count, avg_satisfaction, {share('total_tickets - sla_breach_count', 'total_tickets')} "
             "as sla_compliance_pct from performance",
         ),
-        "kpi_monthly_trends": dim("trends", "select * from trends"),
-        "kpi_monthly_trends_first12": dim(
-            "trends", "select * from trends order by year, month limit 12"
-        ),
+        "kpi_monthly_trends": dim("trends", _TRENDS),
+        "kpi_monthly_trends_first12": dim("trends", f"{_TRENDS} order by year, month limit 12"),
         "kpi_geographic_distribution": dim("geography", "select * from geography"),
         "kpi_category_breakdown": dim("categories", "select * from categories"),
         "kpi_backlog_aging": dim(
