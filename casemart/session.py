@@ -53,7 +53,28 @@ def work_folder(spark: SparkSession) -> str:
 # that the driver can still track; beyond it partitions grow and sorts spill.
 BYTES_PER_PARTITION = 256 << 20
 MOST_PARTITIONS = 40_000
-_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """A session setting that lasts for a block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """The length of all files under `path`, from their listing; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    # Files are packed into tasks by size. Nothing is read, so a few tasks will do.
+    with _setting(spark, "spark.sql.files.maxPartitionBytes", "1t"):
+        return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 @contextmanager
@@ -62,20 +83,14 @@ def sized_shuffles(spark: SparkSession, path: str) -> Iterator[int]:
 
     Adaptive execution merges partitions that turn out small but never starts
     with more than its initial number, which by default does not know the input.
-    The number is only raised, and left alone when the session sets it. The file
-    lengths come from the listing; no file is opened.
+    The number is only raised, and left alone when the session sets it.
     """
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    )
-    size = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    number = max(usual, min(-(-size // BYTES_PER_PARTITION), MOST_PARTITIONS))
-    ours = spark.conf.get(_INITIAL, None) is None
-    if ours:
-        spark.conf.set(_INITIAL, str(number))
-    try:
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    chosen = spark.conf.get(initial, None)
+    if chosen is not None:
+        yield int(chosen)
+        return
+    wanted = min(-(-input_bytes(spark, path) // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    with _setting(spark, initial, number):
         yield number
-    finally:
-        if ours:
-            spark.conf.unset(_INITIAL)
