@@ -130,12 +130,10 @@ def monthly_trends(star: Star, first: int | None = None) -> DataFrame:
     The month before is the previous month that has tickets. `first` keeps only
     that many of the earliest months.
     """
+    created = F.col("date_key").alias("created_date_key")
     by_month = (
         tally(star.fact, "created_date_key")
-        .join(
-            star.dates.select(F.col("date_key").alias("created_date_key"), "year", "month", "month_name"),
-            "created_date_key",
-        )
+        .join(star.dates.select(created, "year", "month", "month_name"), "created_date_key")
         .groupBy("year", "month", "month_name")
         .agg(
             total(F.col("n")).alias("ticket_volume"),
@@ -219,8 +217,9 @@ def backlog_aging(
         .groupBy("department_key", "request_type_key", "created_date_key")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    teams = star.departments.select("department_key", "department_name", "division_name")
     aged = (
-        per_day.join(star.departments.select("department_key", "department_name", "division_name"), "department_key")
+        per_day.join(teams, "department_key")
         .join(star.request_types.drop("default_sla_hours"), "request_type_key")
         .join(
             star.dates.select(F.col("date_key").alias("created_date_key"), "full_date"),

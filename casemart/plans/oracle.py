@@ -577,8 +577,9 @@ def oracle_queries() -> dict[str, str]:
         "dept_compliance_all": dim(
             "performance",
             "select department_name, division_name, total_tickets, avg_resolution_hours, "
-            f"sla_breach_count, avg_satisfaction, {share('total_tickets - sla_breach_count', 'total_tickets')} "
-            "as sla_compliance_pct from performance",
+            "sla_breach_count, avg_satisfaction, "
+            + share("total_tickets - sla_breach_count", "total_tickets")
+            + " as sla_compliance_pct from performance",
         ),
         "kpi_monthly_trends": dim("trends", _TRENDS),
         "kpi_monthly_trends_first12": dim("trends", f"{_TRENDS} order by year, month limit 12"),

@@ -105,10 +105,11 @@ def test_large_dimensions_are_not_broadcast(spark, ready):
     assert rows == star.fact.count()
 
 
-def test_drilldown_filters_reach_the_dimension_scan(spark, ready):
+def test_drilldown_filters_reach_the_scans(spark, ready):
     chosen = drilldown.filter_star(ready.star, department="ASIA")
     text = full_plan(spark, marts.geographic_distribution(chosen))
     assert "EqualTo(department_name,ASIA)" in text
+    assert "GreaterThanOrEqual(department_key,11), LessThanOrEqual(department_key,15)" in text
     assert "LeftSemi" in text
 
 
