@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from casemart.functions.numeric import total
 from casemart.functions.text import grouped_digits, place_label
 from casemart.operators.marts import AGE_CLASSES
-from casemart.operators.star import Star
+from casemart.operators.star import Star, keep_keys
 
 
 def _wanted(choices: dict[str, str | None]) -> Column | None:
@@ -38,10 +38,7 @@ def filter_star(
     """The star restricted to the chosen values, so that all marts agree.
 
     The choices filter the dimensions, and the fact keeps the rows whose keys
-    survive: a semi join on an integer key per choice. The lowest and the highest
-    of those keys are looked up first and filter the scan itself. Keys are
-    numbered in the order of the names, so a department or a category is a range
-    of keys, and the fact is sorted by keys, so most of the file is skipped.
+    survive.
     """
     fact = star.fact
     for dimension, key, choices in [
@@ -55,16 +52,10 @@ def filter_star(
     ]:
         condition = _wanted(choices)
         if condition is not None:
-            chosen = dimension.filter(condition).select(key)
-            fact = fact.filter(_within_range(chosen, key)).join(chosen, key, "left_semi")
+            fact = keep_keys(fact, dimension.filter(condition).select(key), key)
     return replace(star, fact=fact)
 
 
-def _within_range(chosen: DataFrame, key: str) -> Column:
-    lowest, highest = chosen.agg(F.min(key), F.max(key)).first()
-    return F.lit(False) if lowest is None else F.col(key).between(lowest, highest)
-
-
 def filter_departments(departments: DataFrame, department: str | None = None) -> DataFrame:
     """The rows of the department mart that the dashboard shows."""
     return _where(departments, department_name=department)

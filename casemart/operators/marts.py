@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from casemart.functions.calendar import as_date
 from casemart.functions.numeric import percentage, ratio, total
-from casemart.operators.star import Star
+from casemart.operators.star import Star, keep_keys
 
 # The view names and the age classes of the backlog, in days.
 VIEWS = [
@@ -213,7 +213,7 @@ def backlog_aging(
     """Open tickets by age class on `as_of`; the first class takes future dates."""
     open_statuses = star.statuses.filter(~F.col(_CLOSED)).select("status_key")
     per_day = (
-        star.fact.join(open_statuses, "status_key", "left_semi")
+        keep_keys(star.fact, open_statuses, "status_key")
         .groupBy("department_key", "request_type_key", "created_date_key")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from casemart.operators import cleaning, drilldown, marts
+from casemart.operators import cleaning, drilldown, marts, star
 from casemart.operators.fact import build_fact
 from casemart.plans import catalogue
 from casemart.sources.derived import ARRIVAL, derive_tickets
@@ -79,38 +79,56 @@ def test_marts_read_few_columns_and_add_up_before_shuffling(spark, ready, mart,
     assert "SortMergeJoin" not in text
 
 
-def test_fact_is_one_pass_over_staging(ready):
-    star = ready.star
-    fact = build_fact(
-        ready.staging, star.locations, star.request_types, star.departments, star.statuses
+def fact_of(ready):
+    return build_fact(
+        ready.staging,
+        ready.star.locations,
+        ready.star.request_types,
+        ready.star.departments,
+        ready.star.statuses,
     )
+
+
+def test_fact_is_one_pass_over_staging(ready):
+    fact = fact_of(ready)
     text = plan(fact)
     assert text.count("BroadcastHashJoin") == 4
     assert "Exchange hashpartitioning" not in text
 
 
 def test_large_dimensions_are_not_broadcast(spark, ready):
-    star = ready.star
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
     try:
-        fact = build_fact(
-            ready.staging, star.locations, star.request_types, star.departments, star.statuses
-        )
+        fact = fact_of(ready)
         text = plan(fact)
         rows = fact.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Broadcast" not in text and text.count("SortMergeJoin") == 4
-    assert rows == star.fact.count()
+    assert rows == ready.star.fact.count()
 
 
 def test_drilldown_filters_reach_the_scans(spark, ready):
     chosen = drilldown.filter_star(ready.star, department="ASIA")
     text = full_plan(spark, marts.geographic_distribution(chosen))
-    assert "EqualTo(department_name,ASIA)" in text
+    assert "In(department_key, [11,12,13,14,15])" in text
+    assert "LeftSemi" not in text
+
+
+def test_backlog_scans_open_statuses(spark, ready):
+    text = full_plan(spark, marts.backlog_aging(ready.star, "2001-08-02"))
+    assert "In(status_key, [1,4])" in text
+
+
+def test_many_keys_are_joined(spark, ready, monkeypatch):
+    few = marts.geographic_distribution(drilldown.filter_star(ready.star, department="ASIA"))
+    monkeypatch.setattr(star, "LITERAL_KEYS", 4)
+    many = marts.geographic_distribution(drilldown.filter_star(ready.star, department="ASIA"))
+    text = full_plan(spark, many)
     assert "GreaterThanOrEqual(department_key,11), LessThanOrEqual(department_key,15)" in text
     assert "LeftSemi" in text
+    assert many.collect() == few.collect()
 
 
 def test_derived_tickets_read_only_what_they_use(spark, folder):
