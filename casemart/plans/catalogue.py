@@ -25,7 +25,7 @@ from casemart.plans.oracle import AS_OF, CATEGORY, DEPARTMENT, DISTRICT, PRIORIT
 from casemart.plans.pipeline import run_pipeline
 from casemart.plans.warehouse import Warehouse, build_warehouse
 from casemart.schema import RAW_COLUMNS
-from casemart.session import work_folder
+from casemart.session import sized_shuffles, work_folder
 from casemart.sinks import exports
 from casemart.sources.derived import ARRIVAL, derive_tickets
 from casemart.sources.tickets import read_tickets
@@ -75,8 +75,9 @@ def prepare(spark: SparkSession, folder: str) -> Prepared:
     with _lock:
         if key not in _prepared:
             scratch = scratch_folder(spark, folder)
-            raw = land_tickets(spark, folder)
-            warehouse = build_warehouse(spark, raw, ARRIVAL, f"{scratch}/warehouse")
+            with sized_shuffles(spark, folder):
+                raw = land_tickets(spark, folder)
+                warehouse = build_warehouse(spark, raw, ARRIVAL, f"{scratch}/warehouse")
             _prepared[key] = Prepared(scratch, raw, warehouse)
         return _prepared[key]
 

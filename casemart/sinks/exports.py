@@ -31,10 +31,13 @@ def write_tickets(tickets: DataFrame, path: str) -> None:
     (
         tickets.select(*RAW_COLUMNS)
         .write.mode("overwrite")
-        .option("header", True)
-        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
+        .options(
+            header=True,
+            timestampNTZFormat=TIMESTAMP_FORMAT,
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+            escape='"',
+        )
         .csv(path)
     )
 

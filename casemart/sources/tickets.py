@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casemart.schema import RAW
 
 # Where a row stood in the input: files by path, blocks by offset, rows as read.
 ARRIVAL = ["arrival_file", "arrival_block", "arrival_row"]
 
+# The schema of text files. A column of whole numbers with gaps is often written
+# with decimals, 5.0 for 5.
+_TEXT = T.StructType(
+    [
+        T.StructField(field.name, T.DoubleType()) if field.dataType == T.IntegerType() else field
+        for field in RAW
+    ]
+)
+
 
 def read_tickets(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """Raw tickets with the fixed schema, plus the ARRIVAL columns.
@@ -20,20 +30,21 @@ def read_tickets(spark: SparkSession, path: str, fmt: str = "parquet", **options
 
     A CSV header must name the columns in order, and a value that does not parse
     stops the read instead of becoming NULL; `mode="PERMISSIVE"` lets it pass.
-    Times may be written with a space or a T. CSV does not tell empty text from
+    Times may be written with a space or a T, ratings with a decimal point, and
+    quotes are doubled, as pandas writes them. CSV does not tell empty text from
     missing text: both are read as NULL.
     """
-    reader = spark.read.schema(RAW)
+    reader = spark.read.schema(RAW if fmt == "parquet" else _TEXT)
     if fmt in ("csv", "json"):
         reader = reader.option("mode", "FAILFAST")
     if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
+        reader = reader.options(header=True, enforceSchema=False, escape='"')
     return (
         reader.options(**options)
         .format(fmt)
         .load(path)
         .select(
-            *RAW.fieldNames(),
+            *[F.col(field.name).cast(field.dataType).alias(field.name) for field in RAW],
             F.col("_metadata.file_path").alias("arrival_file"),
             F.col("_metadata.file_block_start").alias("arrival_block"),
             F.monotonically_increasing_id().alias("arrival_row"),

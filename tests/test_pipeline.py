@@ -12,7 +12,7 @@ from casemart.session import work_folder
 from casemart.sinks import exports
 from casemart.sources.tickets import ARRIVAL as FILE_ARRIVAL
 from casemart.sources.tickets import read_tickets
-from tickets import ARRIVAL, numbered, raw
+from tickets import ARRIVAL, DEFAULTS, numbered, raw
 
 ROWS = numbered(
     {"department_name": " Public Works  "},
@@ -149,6 +149,21 @@ def test_ticket_files_come_back_equal(spark, tmp_path, fmt):
     assert sorted(map(str, found.select(*RAW_COLUMNS).collect())) == sorted(map(str, tickets.collect()))
 
 
+def test_csv_from_pandas(spark, tmp_path):
+    pandas = pytest.importorskip("pandas")
+    rows = [dict(zip(RAW_COLUMNS, {**DEFAULTS, **row}.values(), strict=True)) for row in ROWS]
+    frame = pandas.DataFrame(rows).drop(columns=["created_date", "closed_date"])
+    for name in ["created_date", "closed_date"]:
+        frame[name] = [row[name] and row[name].strftime("%Y-%m-%d %H:%M:%S") for row in rows]
+    frame[RAW_COLUMNS].to_csv(tmp_path / "tickets.csv", index=False)
+    text = (tmp_path / "tickets.csv").read_text()
+    assert ",5.0," in text and '"a ""b"", c"' in text and ",False," in text
+    found = read_tickets(spark, str(tmp_path), "csv").select(*RAW_COLUMNS)
+    expected = raw(spark, *ROWS).select(*RAW_COLUMNS)
+    expected = expected.withColumn("request_type", F.nullif("request_type", F.lit("")))
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_bad_input_stops_the_read(spark, tmp_path):
     exports.write_tickets(raw(spark, *ROWS), str(tmp_path / "good"))
     page = spark.read.text(str(tmp_path / "good")).collect()
