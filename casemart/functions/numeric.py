@@ -54,3 +54,29 @@ def percentage(part: Column, whole: Column) -> Column:
 def total(column: Column) -> Column:
     """A sum that is 0, not NULL, over no rows."""
     return F.coalesce(F.sum(column), F.lit(0).cast("bigint"))
+
+
+_LOW_BITS = 20
+
+
+def cents_sums(column: str, name: str) -> list[Column]:
+    """Two whole-number sums that together are the exact sum of a decimal(10,2).
+
+    Adding up longs takes half the time of adding up decimals. A double holds ten
+    digits with millionths to spare, so rounding it gives the exact cents. Their
+    low bits are added up apart from the rest, so that neither sum can overflow
+    before eight trillion rows. Both can be added up again; see `cents_total`.
+    """
+    cents = F.rint(F.col(column).cast("double") * 100).cast("bigint")
+    low = cents.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
+    return [
+        F.sum(F.shiftright(cents, _LOW_BITS)).alias(f"{name}_high"),
+        F.sum(low).alias(f"{name}_low"),
+    ]
+
+
+def cents_total(name: str) -> Column:
+    """The decimal sum that rows of `cents_sums` stand for."""
+    high = F.sum(f"{name}_high").cast("decimal(20,0)")
+    low = F.sum(f"{name}_low").cast("decimal(20,0)")
+    return (high * F.lit(1 << _LOW_BITS).cast("decimal(7,0)") + low) * F.lit(Decimal("0.01"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemart.functions.calendar import as_date
-from casemart.functions.numeric import percentage, ratio, total
+from casemart.functions.numeric import cents_sums, cents_total, percentage, ratio, total
 from casemart.operators.star import Star, keep_keys
 
 # The view names and the age classes of the backlog, in days.
@@ -44,9 +44,9 @@ def tally(fact: DataFrame, *keys: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if("is_sla_breached").alias("breaches"),
         F.count_if("is_repeat_incident").alias("repeats"),
-        F.sum("resolution_time_hours").alias("hours"),
+        *cents_sums("resolution_time_hours", "hours"),
         F.count("resolution_time_hours").alias("n_hours"),
-        F.sum("target_sla_hours").alias("targets"),
+        *cents_sums("target_sla_hours", "targets"),
         F.count("target_sla_hours").alias("n_targets"),
         F.sum("satisfaction_rating").alias("ratings"),
         F.count("satisfaction_rating").alias("n_ratings"),
@@ -57,8 +57,12 @@ def _sum_where(condition: Column, column: Column) -> Column:
     return total(F.when(condition, column))
 
 
-def _mean(measure: str) -> Column:
-    return ratio(F.sum(measure), F.sum(f"n_{measure}"))
+def _mean_hours(measure: str) -> Column:
+    return ratio(cents_total(measure), F.sum(f"n_{measure}"))
+
+
+def _mean_rating() -> Column:
+    return ratio(F.sum("ratings"), F.sum("n_ratings"))
 
 
 _CLOSED = "is_closed"
@@ -87,8 +91,8 @@ def operational_overview(star: Star) -> DataFrame:
         total(F.col("n")).alias("total_requests"),
         _closed().alias("total_closed_requests"),
         _sum_where(~F.col(_CLOSED), F.col("n")).alias("current_backlog"),
-        _mean("hours").alias("avg_resolution_hours"),
-        _mean("ratings").alias("avg_satisfaction_rating"),
+        _mean_hours("hours").alias("avg_resolution_hours"),
+        _mean_rating().alias("avg_satisfaction_rating"),
         total(F.col("breaches")).alias("total_sla_breaches"),
         _compliance("closed").alias("sla_compliance_pct"),
         total(F.col("repeats")).alias("total_repeat_incidents"),
@@ -114,11 +118,11 @@ def department_performance(star: Star, compliance_base: str = "closed") -> DataF
             total(F.col("n")).alias("total_tickets"),
             _closed().alias("closed_tickets"),
             _sum_where(~F.col(_CLOSED), F.col("n")).alias("open_backlog"),
-            _mean("hours").alias("avg_resolution_hours"),
-            _mean("targets").alias("avg_target_sla_hours"),
+            _mean_hours("hours").alias("avg_resolution_hours"),
+            _mean_hours("targets").alias("avg_target_sla_hours"),
             total(F.col("breaches")).alias("sla_breach_count"),
             _compliance(compliance_base).alias("sla_compliance_pct"),
-            _mean("ratings").alias("avg_satisfaction"),
+            _mean_rating().alias("avg_satisfaction"),
         )
         .withColumn("workload_rank", F.dense_rank().over(by_volume))
     )
@@ -138,7 +142,7 @@ def monthly_trends(star: Star, first: int | None = None) -> DataFrame:
         .agg(
             total(F.col("n")).alias("ticket_volume"),
             total(F.col("breaches")).alias("sla_breaches"),
-            _mean("hours").alias("avg_resolution_hours"),
+            _mean_hours("hours").alias("avg_resolution_hours"),
         )
     )
     # Twelve rows a year, so one task is enough.
@@ -172,7 +176,7 @@ def geographic_distribution(star: Star) -> DataFrame:
         .agg(
             total(F.col("n")).alias("total_requests"),
             total(F.col("breaches")).alias("sla_breaches"),
-            _mean("hours").alias("avg_resolution_hours"),
+            _mean_hours("hours").alias("avg_resolution_hours"),
             total(F.col("repeats")).alias("repeat_count"),
             _weighted("latitude", weight).alias("district_lat"),
             _weighted("longitude", weight).alias("district_lng"),
@@ -195,7 +199,7 @@ def category_breakdown(star: Star) -> DataFrame:
         .groupBy("request_category", "request_type_name", "priority_level")
         .agg(
             total(F.col("n")).alias("request_count"),
-            _mean("hours").alias("avg_resolution_hours"),
+            _mean_hours("hours").alias("avg_resolution_hours"),
             total(F.col("breaches")).alias("sla_breached_count"),
             percentage(total(F.col("breaches")), total(F.col("n"))).alias("breach_rate_pct"),
         )

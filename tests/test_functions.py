@@ -6,7 +6,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from casemart.functions.numeric import decimal_ratio, hours_between, percentage, ratio
+from casemart.functions.numeric import (
+    cents_sums,
+    cents_total,
+    decimal_ratio,
+    hours_between,
+    percentage,
+    ratio,
+)
 from casemart.functions.text import WHITESPACE, grouped_digits, place_label, strip
 
 
@@ -80,6 +87,26 @@ def test_ratio_matches_python_decimals(spark, rows):
         assert row["x"] == float(exact)
 
 
+@settings(max_examples=15, deadline=None)
+@given(
+    cents=st.lists(st.one_of(st.none(), st.integers(-(10**10) + 1, 10**10 - 1)), min_size=1, max_size=40)
+)
+def test_cents_add_up_exactly(spark, cents):
+    rows = [(place % 3, None if c is None else Decimal(c).scaleb(-2)) for place, c in enumerate(cents)]
+    frame = spark.createDataFrame(rows, "k int, x decimal(10,2)")
+    found = frame.groupBy("k").agg(*cents_sums("x", "x")).agg(cents_total("x").alias("x")).first()["x"]
+    known = [c for c in cents if c is not None]
+    assert found == (Decimal(sum(known)).scaleb(-2) if known else None)
+
+
+def test_sums_of_the_largest_values_do_not_overflow(spark):
+    # 10**9 rows per key of the largest hours: more cents than a long can hold.
+    largest = F.lit(Decimal("99999999.99")).cast("decimal(10,2)")
+    per_key = spark.range(1).select(largest.alias("x")).agg(*cents_sums("x", "x"))
+    many = per_key.select(*[(F.col(name) * 10**9).alias(name) for name in per_key.columns])
+    assert many.agg(cents_total("x").alias("x")).first()["x"] == Decimal("99999999990000000")
+
+
 def test_hours_ignore_the_session_zone(spark):
     # 02:30 does not exist on this day in New York.
     frame = spark.createDataFrame(
