@@ -59,24 +59,36 @@ def total(column: Column) -> Column:
 _LOW_BITS = 20
 
 
-def cents_sums(column: str, name: str) -> list[Column]:
-    """Two whole-number sums that together are the exact sum of a decimal(10,2).
+def _half_sums(column: str, digits: int) -> tuple[Column, Column]:
+    """Two whole-number sums that together are the exact sum of a decimal(10, digits).
 
     Adding up longs takes half the time of adding up decimals. A double holds ten
-    digits with millionths to spare, so rounding it gives the exact cents. Their
+    digits with millionths to spare, so rounding it gives the exact units. Their
     low bits are added up apart from the rest, so that neither sum can overflow
-    before eight trillion rows. Both can be added up again; see `cents_total`.
+    before eight trillion rows.
     """
-    cents = F.rint(F.col(column).cast("double") * 100).cast("bigint")
-    low = cents.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
-    return [
-        F.sum(F.shiftright(cents, _LOW_BITS)).alias(f"{name}_high"),
-        F.sum(low).alias(f"{name}_low"),
-    ]
-
-
-def cents_total(name: str) -> Column:
-    """The decimal sum that rows of `cents_sums` stand for."""
-    high = F.sum(f"{name}_high").cast("decimal(20,0)")
-    low = F.sum(f"{name}_low").cast("decimal(20,0)")
-    return (high * F.lit(1 << _LOW_BITS).cast("decimal(7,0)") + low) * F.lit(Decimal("0.01"))
+    units = F.rint(F.col(column).cast("double") * 10**digits).cast("bigint")
+    low = units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
+    return F.sum(F.shiftright(units, _LOW_BITS)), F.sum(low)
+
+
+def _joined(high: Column, low: Column, digits: int) -> Column:
+    weight = F.lit(1 << _LOW_BITS).cast("decimal(7,0)")
+    units = high.cast("decimal(20,0)") * weight + low.cast("decimal(20,0)")
+    return units * F.lit(Decimal(1).scaleb(-digits))
+
+
+def exact_sum(column: str, digits: int) -> Column:
+    """The sum of a decimal(10, digits), as a decimal."""
+    return _joined(*_half_sums(column, digits), digits)
+
+
+def part_sums(column: str, name: str, digits: int = 2) -> list[Column]:
+    """The sum of a decimal(10, digits) in two columns that can be added up again."""
+    high, low = _half_sums(column, digits)
+    return [high.alias(f"{name}_high"), low.alias(f"{name}_low")]
+
+
+def whole_sum(name: str, digits: int = 2) -> Column:
+    """The decimal sum that rows of `part_sums` stand for."""
+    return _joined(F.sum(f"{name}_high"), F.sum(f"{name}_low"), digits)

@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemart.functions import calendar
-from casemart.functions.numeric import decimal_ratio
+from casemart.functions.numeric import decimal_ratio, exact_sum, part_sums, whole_sum
 from casemart.session import work_folder
 
 # Fixed values of the dimension tables.
@@ -49,10 +49,6 @@ def number_rows(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     return placed.join(F.broadcast(offsets), "_part").select(number, *rows.columns)
 
 
-def _mean(column: str, digits: int) -> Column:
-    return decimal_ratio(F.sum(column), F.count(column), digits)
-
-
 def date_bounds(staging: DataFrame) -> DataFrame:
     """One row: the earliest and the latest moment in the tickets."""
     created = F.col("created_date")
@@ -92,11 +88,23 @@ def dim_date(bounds: DataFrame) -> DataFrame:
 
 
 def dim_location(staging: DataFrame) -> DataFrame:
-    """One row per district and neighborhood, with mean position and lowest zip."""
-    places = staging.groupBy("district_code", "neighborhood").agg(
+    """One row per district and neighborhood, with mean position and lowest zip.
+
+    Zip codes are a key of the pass over staging, which makes it a hash aggregate
+    of whole numbers; the lowest text of a group would need its rows sorted.
+    """
+    positions = [
+        column
+        for name in ["latitude", "longitude"]
+        for column in [*part_sums(name, name, 6), F.count(name).alias(f"n_{name}")]
+    ]
+    by_zip = staging.groupBy("district_code", "neighborhood", "zip_code").agg(*positions)
+    places = by_zip.groupBy("district_code", "neighborhood").agg(
         F.min("zip_code").alias("zip_code"),
-        _mean("latitude", 6).alias("latitude"),
-        _mean("longitude", 6).alias("longitude"),
+        *[
+            decimal_ratio(whole_sum(name, 6), F.sum(f"n_{name}"), 6).alias(name)
+            for name in ["latitude", "longitude"]
+        ],
     )
     zone = F.when(F.col("district_code").isin(NORTH_DISTRICTS), NORTH).otherwise(SOUTH)
     return number_rows(
@@ -106,10 +114,11 @@ def dim_location(staging: DataFrame) -> DataFrame:
 
 def dim_request_type(staging: DataFrame) -> DataFrame:
     """One row per category, type and priority, with the mean target."""
+    mean_target = decimal_ratio(exact_sum("target_sla_hours", 2), F.count("target_sla_hours"))
     kinds = (
         staging.withColumnRenamed("request_type", "request_type_name")
         .groupBy("request_category", "request_type_name", "priority_level")
-        .agg(_mean("target_sla_hours", 2).alias("default_sla_hours"))
+        .agg(mean_target.alias("default_sla_hours"))
     )
     return number_rows(
         kinds, ["request_category", "request_type_name", "priority_level"], "request_type_key"

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemart.functions.calendar import as_date
-from casemart.functions.numeric import cents_sums, cents_total, percentage, ratio, total
+from casemart.functions.numeric import part_sums, percentage, ratio, total, whole_sum
 from casemart.operators.star import Star, keep_keys
 
 # The view names and the age classes of the backlog, in days.
@@ -44,9 +44,9 @@ def tally(fact: DataFrame, *keys: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if("is_sla_breached").alias("breaches"),
         F.count_if("is_repeat_incident").alias("repeats"),
-        *cents_sums("resolution_time_hours", "hours"),
+        *part_sums("resolution_time_hours", "hours"),
         F.count("resolution_time_hours").alias("n_hours"),
-        *cents_sums("target_sla_hours", "targets"),
+        *part_sums("target_sla_hours", "targets"),
         F.count("target_sla_hours").alias("n_targets"),
         F.sum("satisfaction_rating").alias("ratings"),
         F.count("satisfaction_rating").alias("n_ratings"),
@@ -58,7 +58,7 @@ def _sum_where(condition: Column, column: Column) -> Column:
 
 
 def _mean_hours(measure: str) -> Column:
-    return ratio(cents_total(measure), F.sum(f"n_{measure}"))
+    return ratio(whole_sum(measure), F.sum(f"n_{measure}"))
 
 
 def _mean_rating() -> Column:

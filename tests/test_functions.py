@@ -7,12 +7,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from casemart.functions.numeric import (
-    cents_sums,
-    cents_total,
     decimal_ratio,
+    exact_sum,
     hours_between,
+    part_sums,
     percentage,
     ratio,
+    whole_sum,
 )
 from casemart.functions.text import WHITESPACE, grouped_digits, place_label, strip
 
@@ -94,17 +95,24 @@ def test_ratio_matches_python_decimals(spark, rows):
 def test_cents_add_up_exactly(spark, cents):
     rows = [(place % 3, None if c is None else Decimal(c).scaleb(-2)) for place, c in enumerate(cents)]
     frame = spark.createDataFrame(rows, "k int, x decimal(10,2)")
-    found = frame.groupBy("k").agg(*cents_sums("x", "x")).agg(cents_total("x").alias("x")).first()["x"]
+    found = frame.groupBy("k").agg(*part_sums("x", "x")).agg(whole_sum("x").alias("x")).first()["x"]
     known = [c for c in cents if c is not None]
     assert found == (Decimal(sum(known)).scaleb(-2) if known else None)
 
 
+def test_degrees_add_up_exactly(spark):
+    degrees = [Decimal("9999.999999"), Decimal("-85.480001"), None, Decimal("0.000001")]
+    frame = spark.createDataFrame([(value,) for value in degrees], "x decimal(10,6)")
+    found = frame.agg(exact_sum("x", 6).alias("x")).first()["x"]
+    assert found == sum(value for value in degrees if value is not None)
+
+
 def test_sums_of_the_largest_values_do_not_overflow(spark):
     # 10**9 rows per key of the largest hours: more cents than a long can hold.
     largest = F.lit(Decimal("99999999.99")).cast("decimal(10,2)")
-    per_key = spark.range(1).select(largest.alias("x")).agg(*cents_sums("x", "x"))
+    per_key = spark.range(1).select(largest.alias("x")).agg(*part_sums("x", "x"))
     many = per_key.select(*[(F.col(name) * 10**9).alias(name) for name in per_key.columns])
-    assert many.agg(cents_total("x").alias("x")).first()["x"] == Decimal("99999999990000000")
+    assert many.agg(whole_sum("x").alias("x")).first()["x"] == Decimal("99999999990000000")
 
 
 def test_hours_ignore_the_session_zone(spark):

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from casemart.operators import cleaning, drilldown, marts, star
+from casemart.operators import cleaning, dimensions, drilldown, marts, star
 from casemart.operators.fact import build_fact
 from casemart.plans import catalogue
 from casemart.sources.derived import ARRIVAL, derive_tickets
@@ -79,6 +79,14 @@ def test_marts_read_few_columns_and_add_up_before_shuffling(spark, ready, mart,
     assert "SortMergeJoin" not in text
 
 
+@pytest.mark.parametrize("build", ["dim_location", "dim_request_type", "dim_department", "dim_status"])
+def test_dimensions_scan_staging_without_sorting_it(ready, monkeypatch, build):
+    monkeypatch.setattr(dimensions, "number_rows", lambda rows, order, name: rows)
+    text = plan(getattr(dimensions, build)(ready.staging))
+    below = text[text.rindex("Exchange hashpartitioning"):]
+    assert "HashAggregate" in below and "Sort" not in below
+
+
 def fact_of(ready):
     return build_fact(
         ready.staging,
