@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casemart.llm import jaccard_join, packing, quality, token_counts
+from casemart.llm import jaccard_join, packing, pii, quality, secret_scan, token_counts
 from casemart.llm.common import table
 from casemart.llm.token_counts import tokenizer_path
 
@@ -30,5 +30,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(docs, quality.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_best_fit_packing, op5_token_counts, op7_ngram_jaccard_join, op8_quality_rules)}
+    return {f.__name__: f for f in (op3_best_fit_packing, op5_token_counts, op7_ngram_jaccard_join, op8_quality_rules, op9_pii, op10_secret_scans)}
