@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +47,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     """Slices of batches of at most limit bytes in a column, or of one row."""
     for batch in batches:
         if batch.num_rows:
-            sizes = np.nan_to_num(np.asarray(pa.compute.binary_length(batch.column(column)).to_pandas(), float)).astype(np.int64)
+            sizes = np.nan_to_num(np.asarray(pc.binary_length(batch.column(column)).to_pandas(), float)).astype(np.int64)
             ends, start = np.cumsum(sizes), 0
             while start < batch.num_rows:
                 before = ends[start - 1] if start else 0

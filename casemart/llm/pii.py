@@ -287,6 +287,10 @@ def _texts(spans) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _same(kind: str):
+    return lambda x: x == kind
+
+
 def _by_start(spans):
     """Spans by start, then kind in the listed order."""
     rank = F.create_map(*[F.lit(x) for kind, i in _ORDER.items() for x in (kind, i)])
@@ -298,7 +302,7 @@ def personal_data(docs: DataFrame, support: int = SUPPORT, generalise: float = G
     """doc_id, n_<kind> of the base kinds, base_sha256, spans of each row of docs (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     rows = _all_spans(docs, support, generalise, remove)
-    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    counts = [F.size(F.filter(F.transform("base", lambda s: s["kind"]), _same(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     every = F.when(F.size("added") > 0, _texts(_by_start(F.concat("base", "added")))).otherwise(_texts(F.col("base")))
     return rows.select("doc_id", *counts, F.sha2(_texts(F.col("base")), 256).alias("base_sha256"), every.alias("spans"))
 
