@@ -5,22 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casemart.llm import jaccard_join, packing, pii, quality, secret_scan, token_counts
+from casemart.llm import decontamination, jaccard_join, language_id, packing, passage_dedup, pii, quality, secret_scan, token_counts, warc
 from casemart.llm.common import table
 from casemart.llm.token_counts import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.passages(table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
+    return language_id.predict(docs, language_id.fit(docs.filter(~held_out)), held_out)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -39,4 +58,16 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_best_fit_packing, op5_token_counts, op7_ngram_jaccard_join, op8_quality_rules, op9_pii, op10_secret_scans)}
+    every = [
+        op1_passage_dedup,
+        op2_language_id,
+        op3_best_fit_packing,
+        op4_warc,
+        op5_token_counts,
+        op6_benchmark_decontamination,
+        op7_ngram_jaccard_join,
+        op8_quality_rules,
+        op9_pii,
+        op10_secret_scans,
+    ]
+    return {query.__name__: query for query in every}
