@@ -147,6 +147,11 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("b"))
 
 
+def _state(edges: DataFrame) -> tuple:
+    """What tells two sets of edges apart: their number and a sum of their hashes."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """node, component (its smallest node) for the nodes of undirected edges (a long, b long).
 
@@ -155,8 +160,8 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     minimum before any join. Each round is written to the shared folder. It ends when nothing changes; a graph that
     needs more rounds raises an error.
     """
-    spark = edges.sparkSession
     edges = stored(edges.filter("a <> b").selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct(), "edges")
+    state = _state(edges)
     for _ in range(rounds):
         both = edges.union(edges.selectExpr("b AS a", "a AS b"))
         least = _least(both).selectExpr("a AS n", "least(a, b) AS m")
@@ -165,12 +170,50 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
         least = _least(large).selectExpr("a AS n", "b AS m")
         small = large.join(least, F.col("a") == F.col("n")).select("b", "m", "n")
         small = small.filter("b <> m").selectExpr("b AS a", "m AS b").union(least.selectExpr("n AS a", "m AS b"))
-        after = stored(small.distinct(), "edges")
-        if after.count() == edges.count() and after.exceptAll(edges).isEmpty():
-            return after.selectExpr("a AS node", "b AS component").union(after.selectExpr("b AS node", "b AS component").distinct())
-        edges = after
+        edges = stored(small.distinct(), "edges")
+        before, state = state, _state(edges)
+        if state == before:
+            return edges.selectExpr("a AS node", "b AS component").union(edges.selectExpr("b AS node", "b AS component").distinct())
     raise RuntimeError(f"components not settled after {rounds} rounds")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or the name with underscores before it, that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def join_rows(docs: DataFrame, rows: DataFrame, how: str, value: str | None = None) -> DataFrame:
+    """docs joined with rows (doc_id, row) that name documents by id and hash of id and text.
+
+    Semi and anti joins return the columns of docs. A left join adds the column `value` of rows under free_name(docs, value).
+    Documents may have columns of any names.
+    """
+    on = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.xxhash64("d.doc_id", "d.text") == F.col("f.row"))
+    joined = docs.alias("d").join(rows.alias("f"), on, how)
+    if value is None:
+        return joined
+    own = [F.col(f"d.`{c}`") for c in docs.columns]
+    return joined.select(*own, F.col(f"f.{value}").alias(free_name(docs, value)))
+
+
+def filter_bits(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A filter of fixed size for a column of 64-bit hashes: at most bits / 32 numbers reach the driver."""
+    place = F.pmod(F.col(column), F.lit(bits))
+    words = df.select(F.floor(place / 32).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int")).alias("b"))
+    found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(bits // 32, np.uint32)
+    out[found["w"].to_numpy()] = found["b"].to_numpy().astype(np.uint32)
+    return out
+
+
+def passes(filter_words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether hashes are in a filter of filter_bits; others may be as well."""
+    place = hashes.view(np.int64) % (len(filter_words) * 32)
+    return (filter_words[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+
+
 def empty_like(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], T.StructType.fromDDL(schema))

@@ -1,7 +1,7 @@
 """Benchmark decontamination (op 6): template canonicalisation with slot consistency.
 
 1. Template. A text is the sequence of its terms (runs of letters and digits, lower-cased). Terms with a digit become the
-   slot <number>, words of `UNITS` the slot <unit>, capitalised words inside a sentence the slot <name>.
+   slot <number>, words of `UNITS` the slot <unit>, words inside a sentence with a capital at their start alone the slot <name>.
 2. Windows of `WINDOW` terms are hashed with slots as types, not values. Windows with fewer than `LEAST_WORDS` plain words
    say nothing and are left out. Documents and benchmark items meet in a hash join on windows. A filter of fixed size, made
    from the benchmark's windows and sent to all tasks, keeps the other windows of documents from being shuffled.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemart.llm.common import blocks, lower_ascii, mixed, raw_text, span_hashes
+from casemart.llm.common import blocks, filter_bits, join_rows, lower_ascii, mixed, passes, raw_text, span_hashes
 
 WINDOW = 5
 LEAST_WORDS = 3
@@ -85,7 +85,9 @@ class Template:
         self.value = span_hashes(lower_ascii(data), self.starts, self.ends)
         digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
         head = data[self.starts] if len(self.starts) else np.zeros(0, np.uint8)
-        capital = (head >= 65) & (head <= 90)
+        second = data[np.minimum(self.starts + 1, max(len(data) - 1, 0))] if len(self.starts) else head
+        # A capital and then none: words in capitals throughout are words.
+        capital = (head >= 65) & (head <= 90) & ~((second >= 65) & (second <= 90) & (self.ends - self.starts > 1))
         # A sentence begins at the start of a text, or if a stop lies between a term and the one before it.
         stops = np.concatenate([[0], np.cumsum(_STOP[data])])
         begins = np.ones(len(self.starts), bool)
@@ -128,8 +130,7 @@ def _windows(rows: DataFrame, bits=None) -> DataFrame:
             template = Template(block.column("text"))
             hashes, at, owner = template.windows()
             if bits is not None:
-                place = hashes.view(_I) % FILTER_BITS
-                held = (bits.value[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+                held = passes(bits.value, hashes)
                 hashes, at, owner = hashes[held], at[held], owner[held]
             slots = template.slots(at)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, slots.size + 1, WINDOW, dtype=np.int32)), pa.array(slots.ravel()))
@@ -149,16 +150,6 @@ def _windows(rows: DataFrame, bits=None) -> DataFrame:
     return rows.mapInArrow(emit, _WINDOWS.format(kind=rows.schema["id"].dataType.simpleString()))
 
 
-def _filter(windows: DataFrame):
-    """The benchmark's windows as bits of a filter of fixed size: at most FILTER_BITS / 32 numbers reach the driver."""
-    place = F.pmod(F.col("window"), F.lit(FILTER_BITS))
-    words = windows.select(F.floor(place / 32).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int")).alias("b"))
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    for row in words.groupBy("w").agg(F.bit_or("b").alias("b")).toLocalIterator():
-        out[row["w"]] = row["b"]
-    return windows.sparkSession.sparkContext.broadcast(out)
-
-
 def occurrences(matches: list[tuple[int, int, list[int], list[int]]], terms: int) -> list[dict]:
     """Occurrences of an item of so many terms. matches: place in the document, place in the item, slots of both."""
     out: list[dict] = []
@@ -203,7 +194,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, co
     items = _windows(benchmark.select(F.col("item_id").alias("id"), F.xxhash64("item_id", "text").alias("row"), "text"))
     rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("doc_id", "text").alias("row"), "text")
     theirs = items.select("window", F.col("id").alias("item_id"), F.col("row").alias("item_row"), F.col("place").alias("item_place"), "terms", F.col("slots").alias("item_slots"))
-    ours = _windows(rows, _filter(items)).select("window", F.col("id").alias("doc_id"), F.col("row").alias("_row"), "place", "slots")
+    # The benchmark's windows as a filter of fixed size.
+    bits = docs.sparkSession.sparkContext.broadcast(filter_bits(items, "window", FILTER_BITS))
+    ours = _windows(rows, bits).select("window", F.col("id").alias("doc_id"), F.col("row").alias("_row"), "place", "slots")
     matched = ours.join(theirs.dropDuplicates(["window", "item_row", "item_place"]), "window")
     pairs = matched.groupBy("doc_id", "_row", "item_id", "item_row", "terms").agg(F.collect_set(F.struct("place", "item_place", "slots", "item_slots")).alias("matches"))
 
@@ -238,6 +231,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, co
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, consistent: float = CONSISTENT) -> DataFrame:
     """The rows of docs, with all their columns, that hold no benchmark item."""
-    found = contaminated(docs, benchmark, cover, consistent, with_row=True).select(F.col("doc_id").alias("_doc"), F.col("_row").alias("_own")).distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("doc_id", "text") == F.col("_own"))
-    return docs.join(found, on, "left_anti")
+    found = contaminated(docs, benchmark, cover, consistent, with_row=True)
+    return join_rows(docs, found.select("doc_id", F.col("_row").alias("row")).distinct(), "left_anti")

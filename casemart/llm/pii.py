@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemart.llm.common import blocks, lower_ascii, mixed, raw_text, span_hashes, stored
+from casemart.llm.common import blocks, filter_bits, free_name, join_rows, lower_ascii, mixed, passes, raw_text, span_hashes, stored
 
 NEAR = 6
 SUPPORT = 3
@@ -187,25 +187,14 @@ def _spans_of(row: dict) -> list[Span]:
     return list(zip(row["kinds"], row["starts"], row["ends"]))
 
 
-def _bits(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A filter of fixed size for a column of hashes: at most bits / 32 rows reach the driver."""
-    place = F.pmod(F.col(column), F.lit(bits))
-    words = df.select(F.floor(place / 32).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 32).cast("int")).alias("b"))
-    out = np.zeros(bits, bool)
-    for row in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():
-        out[row["w"] * 32 + np.flatnonzero([(row["b"] >> i) & 1 for i in range(32)])] = True
-    return out
-
-
 def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term, n: in how many documents each of the terms stands, over all documents."""
-    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(_bits(terms, "term")))
+    bits = docs.sparkSession.sparkContext.broadcast(filter_bits(terms, "term", FILTER_BITS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = np.unpackbits(bits.value).astype(bool)
         for block in blocks(batches):
             _, _, hashes, owner = term_spans(*raw_text(block.column("text")))
-            held = chosen[(hashes.view(np.int64) % FILTER_BITS)]
+            held = passes(bits.value, hashes)
             pairs = np.unique(np.stack([owner[held].astype(np.int64), hashes[held].view(np.int64)], 1), axis=0)
             found, n = np.unique(pairs[:, 1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["term", "n"])
@@ -323,15 +312,16 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERA
     """docs, all columns, with sanitised text."""
     names = docs.columns
     spans = _all_spans(docs.select("doc_id", "text"), support, generalise, remove)
-    spans = spans.select(F.col("doc_id").alias("_doc"), F.col("_key").alias("_own"), _by_start(F.concat("base", F.coalesce("added", F.array()))).alias("_spans"))
-    spans = spans.filter(F.size("_spans") > 0).dropDuplicates(["_doc", "_own"])
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    rows = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_own")), "left").drop("_doc", "_own", "_key")
+    every = F.when(F.size("added") > 0, F.concat("base", "added")).otherwise(F.col("base"))
+    spans = spans.select("doc_id", F.col("_key").alias("row"), _by_start(every).alias("_spans"))
+    spans = spans.filter(F.size("_spans") > 0).dropDuplicates(["doc_id", "row"])
+    own = free_name(docs, "_spans")
+    rows = join_rows(docs, spans, "left", "_spans")
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             texts = block.column("text").to_pylist()
-            every = block.column("_spans").to_pylist()
+            every = block.column(own).to_pylist()
             new = [clean_text(t, [(s["kind"], s["start"], s["end"]) for s in found]) if found else t for t, found in zip(texts, every)]
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == "text" else block.column(n) for n in names], names=names)
 

@@ -23,6 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casemart.llm.common import free_name
+
 SAMPLE_ROWS = 20_000
 #: Share of the rows covered by a rule that must be bad, on the rows it was grown and on those it was pruned with.
 PRECISION = 0.95
@@ -92,11 +94,12 @@ def _counts(text: Column) -> Column:
     return _let(F.array_remove(F.split(text, SPACE), ""), of)
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
-    """The columns of docs and one struct `_stats` with COUNTS, base_failed and FEATURES of the text column."""
-    counted = docs.withColumn("_counts", _counts(F.coalesce(F.col("text"), F.lit(""))))
-    c = {name: F.col(f"_counts.{name}") for name in ("n_words", "word_chars", "n_symbols", "n_repeat_words", "distinct", "upper", "marks")}
-    lines, dup = F.col("_counts.lines.all"), F.col("_counts.lines.dup")
+def text_statistics(docs: DataFrame, stats: str = "_stats") -> DataFrame:
+    """The columns of docs and one struct with COUNTS, base_failed and FEATURES of the text column, under the name `stats`."""
+    own = free_name(docs, "_counts")
+    counted = docs.withColumn(own, _counts(F.coalesce(F.col("text"), F.lit(""))))
+    c = {name: F.col(f"{own}.{name}") for name in ("n_words", "word_chars", "n_symbols", "n_repeat_words", "distinct", "upper", "marks")}
+    lines, dup = F.col(f"{own}.lines.all"), F.col(f"{own}.lines.dup")
 
     def share(a: Column, b: Column) -> Column:
         return F.when(b > 0, a / b).otherwise(F.lit(0.0))
@@ -118,7 +121,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         share(c["marks"], c["word_chars"]).alias("mark_share"),
         c["n_words"].cast("double").alias("words"),
     ]
-    return counted.withColumn("_stats", F.struct(*fields)).drop("_counts")
+    return counted.withColumn(stats, F.struct(*fields)).drop(own)
 
 
 @dataclass(frozen=True)
@@ -249,4 +252,5 @@ def quality(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """The rows of docs that the rules keep, with all columns of docs."""
-    return text_statistics(docs).filter(verdict(rules)).drop("_stats")
+    stats = free_name(docs, "_stats")
+    return text_statistics(docs, stats).filter(verdict(rules, stats)).drop(stats)
