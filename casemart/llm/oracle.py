@@ -2,6 +2,38 @@
 
 from __future__ import annotations
 
+_WARC = """
+with payloads as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as bytes, sha1(coalesce(html, '')) as digest from pages),
+owners as (
+    select digest, max(page_id) as page from payloads where bytes >= 1000 group by digest)
+select page_id, cast(bytes as bigint) as payload_bytes, digest as payload_digest,
+    case when page > page_id then 'revisit' else 'response' end as record_type,
+    case when page > page_id then page end as refers_to
+from payloads left join owners using (digest)"""
+
+_JACCARD = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as materialized (
+    select doc_id, list_distinct(case when len(w) >= 5 then
+        [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)]
+        when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from words),
+elements as (select doc_id, unnest([hash(x) for x in s]) as e from sets),
+shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n from elements a join elements b
+    on a.e = b.e and a.doc_id <> b.doc_id group by all),
+links as materialized (
+    select a, b from shared join sets x on x.doc_id = a join sets y on y.doc_id = b
+    where 100 * n >= 75 * (len(x.s) + len(y.s) - n)),
+reach as (
+    select doc_id, doc_id as other from sets
+    union select reach.doc_id, links.b from reach join links on reach.other = links.a)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id
+from sets join (select doc_id, min(other) as component_id from reach group by doc_id) using (doc_id)"""
+
 
 def oracle_queries() -> dict[str, str]:
-    return {}
+    """The others rest on tokenizers, learned models or spans of regexes; tests/llm compares them with plain Python."""
+    return {"op4_warc": _WARC, "op7_ngram_jaccard_join": _JACCARD}
