@@ -33,6 +33,7 @@ REPORTS = [
     "dq_audit_log",
     "drilldown_overview",
     "dash_filter_options",
+    "kpi_payload_json",
     "constraint_unique",
     "constraint_fk_orphans",
     "constraint_lost_tickets",

@@ -9,7 +9,7 @@ from casemart.operators.marts import (
     operational_overview,
 )
 from casemart.plans.pipeline import run_pipeline
-from casemart.plans.warehouse import Star, Warehouse, open_warehouse
+from casemart.plans.warehouse import Star, Warehouse, open_views, open_warehouse
 
 __all__ = [
     "Star",
@@ -19,6 +19,7 @@ __all__ = [
     "department_performance",
     "geographic_distribution",
     "monthly_trends",
+    "open_views",
     "open_warehouse",
     "operational_overview",
     "run_pipeline",

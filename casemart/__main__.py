@@ -12,9 +12,11 @@ from casemart.session import session
 
 
 def report(run: PipelineRun) -> str:
-    """The audit log and the headline figures; a fixed, small number of rows."""
+    """The audits and the headline figures; a fixed, small number of rows."""
     checks = [
-        f"[{row['status']}] {row['check_name']}: {row['details']}" for row in run.audit_log.collect()
+        f"[{row['status']}] {where}, {row['check_name']}: {row['details']}"
+        for where, log in [("raw", run.raw_audit), ("staged", run.audit_log)]
+        for row in log.collect()
     ]
     broken = [
         f"[FAILED] {row['rule']}: {row['violations']} violations"

@@ -1,8 +1,11 @@
-"""Dimensions of the star schema, built from staged tickets."""
+"""Dimensions of the star schema, built from staged tickets.
+
+The builders return rows without keys and run no job; the warehouse numbers the
+rows when it stores them.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -10,7 +13,6 @@ from pyspark.sql import functions as F
 
 from casemart.functions import calendar
 from casemart.functions.numeric import decimal_ratio, exact_sum, part_sums, whole_sum
-from casemart.session import work_folder
 
 # Fixed values of the dimension tables.
 NORTH_DISTRICTS = ["DIST-01", "DIST-02"]
@@ -23,17 +25,28 @@ DAYS_BEFORE = 30
 DAYS_AFTER = 60
 
 
-def number_rows(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+# The key of each dimension, and the columns whose order it follows.
+KEYS = {
+    "dim_location": ("location_key", ["district_code", "neighborhood"]),
+    "dim_request_type": (
+        "request_type_key", ["request_category", "request_type_name", "priority_level"],
+    ),
+    "dim_department": ("department_key", ["department_name", "division_name"]),
+    "dim_status": ("status_key", ["status_name"]),
+}
+
+
+def number_rows(rows: DataFrame, order: Sequence[str], name: str, path: str) -> DataFrame:
     """Add `name` = 1..n in the order of `order`, without one task seeing all rows.
 
-    The rows are sorted across partitions and written with an increasing id whose
-    high bits name the partition. The sizes of the partitions before it then turn
-    a row's place in its partition into its place in the table.
+    The rows are sorted across partitions and written to the folder `path` with
+    an increasing id whose high bits name the partition. The sizes of the
+    partitions before it then turn a row's place in its partition into its place
+    in the table. The caller owns the folder, which the result reads.
     """
     spark = rows.sparkSession
-    path = f"{work_folder(spark)}/casemart/sorted/{uuid.uuid4().hex}"
     placed = rows.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
-    placed.write.parquet(path)
+    placed.write.mode("overwrite").parquet(path)
     placed = spark.read.schema(placed.schema).parquet(path).withColumns(
         {"_part": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}
     )
@@ -107,41 +120,34 @@ def dim_location(staging: DataFrame) -> DataFrame:
         ],
     )
     zone = F.when(F.col("district_code").isin(NORTH_DISTRICTS), NORTH).otherwise(SOUTH)
-    return number_rows(
-        places.withColumn("region_zone", zone), ["district_code", "neighborhood"], "location_key"
-    )
+    return places.withColumn("region_zone", zone)
 
 
 def dim_request_type(staging: DataFrame) -> DataFrame:
     """One row per category, type and priority, with the mean target."""
     mean_target = decimal_ratio(exact_sum("target_sla_hours", 2), F.count("target_sla_hours"))
-    kinds = (
+    return (
         staging.withColumnRenamed("request_type", "request_type_name")
         .groupBy("request_category", "request_type_name", "priority_level")
         .agg(mean_target.alias("default_sla_hours"))
     )
-    return number_rows(
-        kinds, ["request_category", "request_type_name", "priority_level"], "request_type_key"
-    )
 
 
 def dim_department(staging: DataFrame) -> DataFrame:
     """One row per department and division."""
-    teams = (
+    return (
         staging.select("department_name", "division_name")
         .distinct()
         .withColumns({"department_head": F.lit(DEPARTMENT_HEAD), "team_capacity": F.lit(TEAM_CAPACITY)})
     )
-    return number_rows(teams, ["department_name", "division_name"], "department_key")
 
 
 def dim_status(staging: DataFrame) -> DataFrame:
     """One row per status; a status that starts with `Closed` is closed."""
     closed = F.coalesce(F.col("status_name").startswith(CLOSED_PREFIX), F.lit(False))
     active = F.coalesce(~F.col("status_name").startswith(CLOSED_PREFIX), F.lit(False))
-    statuses = (
+    return (
         staging.select(F.col("status").alias("status_name"))
         .distinct()
         .withColumns({"is_closed": closed, "is_active": active})
     )
-    return number_rows(statuses, ["status_name"], "status_key")

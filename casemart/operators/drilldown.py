@@ -90,23 +90,25 @@ def filter_options(departments: DataFrame, categories: DataFrame, geography: Dat
 
     A value first appears at its busiest row, so the order is by the largest
     count, then by name. A district is labelled with the neighborhood of that row.
+    The marts may come in any order; the one task of a list sees a row per value.
     """
-    first_place = F.min_by("neighborhood", F.struct(-F.col("total_requests"), "neighborhood"))
+    in_district = Window.partitionBy("district_code").orderBy(F.desc("total_requests"), "neighborhood")
+    busiest = geography.withColumn("_place", F.row_number().over(in_district)).filter("_place = 1")
     lists = [
-        departments.groupBy(F.col("department_name").alias("value")).agg(
+        departments.select(
             F.lit("department").alias("filter_name"),
             F.lit(0).cast("bigint").alias("_busiest"),
-            F.first("department_name").alias("label"),
-        ),
-        categories.groupBy(F.col("request_category").alias("value")).agg(
-            F.lit("category").alias("filter_name"),
-            F.max("request_count").alias("_busiest"),
-            F.first("request_category").alias("label"),
-        ),
-        geography.groupBy(F.col("district_code").alias("value")).agg(
+            F.col("department_name").alias("value"),
+            F.col("department_name").alias("label"),
+        ).distinct(),
+        categories.groupBy(F.col("request_category").alias("value"))
+        .agg(F.max("request_count").alias("_busiest"))
+        .select(F.lit("category").alias("filter_name"), "_busiest", "value", F.col("value").alias("label")),
+        busiest.select(
             F.lit("district").alias("filter_name"),
-            F.max("total_requests").alias("_busiest"),
-            place_label(F.col("district_code"), first_place).alias("label"),
+            F.col("total_requests").alias("_busiest"),
+            F.col("district_code").alias("value"),
+            place_label(F.col("district_code"), F.col("neighborhood")).alias("label"),
         ),
     ]
     options = lists[0].unionByName(lists[1]).unionByName(lists[2])

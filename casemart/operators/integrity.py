@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from casemart.functions.numeric import total
 from casemart.operators.fact import attach_keys
 from casemart.operators.star import Star
-from casemart.schema import FOREIGN_KEYS, NOT_NULL, TEXT_LIMITS, UNIQUE
+from casemart.schema import FOREIGN_KEYS, NOT_NULL, NUMBER_LIMITS, TEXT_LIMITS, UNIQUE
 
 
 def _rules(counts: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -51,7 +51,9 @@ def check_unique(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def check_not_null(tables: dict[str, DataFrame]) -> DataFrame:
+def check_not_null(
+    tables: dict[str, DataFrame], columns: dict[str, list[str]] = NOT_NULL
+) -> DataFrame:
     """Columns that must hold a value; one pass per table."""
     return _stack(
         [
@@ -59,7 +61,7 @@ def check_not_null(tables: dict[str, DataFrame]) -> DataFrame:
                 frame,
                 {
                     f"{name}.{column}": F.col(column).isNull()
-                    for column in NOT_NULL[name]
+                    for column in columns[name]
                     if column in frame.columns
                 },
             )
@@ -85,6 +87,28 @@ def check_text_limits(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def check_number_ranges(tables: dict[str, DataFrame]) -> DataFrame:
+    """Numbers with more whole digits than their column allows; one pass per table.
+
+    A value that its type can't hold never gets into a stored table; this is for
+    tables read with wider types.
+    """
+    return _stack(
+        [
+            _count_rules(
+                frame,
+                {
+                    f"{name}.{column}": F.abs(F.col(column)) >= F.lit(10**whole)
+                    for column, whole in NUMBER_LIMITS[name].items()
+                    if column in frame.columns
+                },
+            )
+            for name, frame in tables.items()
+            if name in NUMBER_LIMITS
+        ]
+    )
+
+
 def check_foreign_keys(star: Star) -> DataFrame:
     """Fact rows whose key has no dimension row; a NULL key is exempt.
 
@@ -107,18 +131,27 @@ def check_foreign_keys(star: Star) -> DataFrame:
 
 
 def check_lost_tickets(staging: DataFrame, star: Star) -> DataFrame:
-    """Staged tickets that the inner joins drop, by the dimension they miss.
+    """Staged tickets without a dimension row, by dimension, and those that are not in the fact.
 
-    The keys are looked up again with outer joins, which costs one scan of
-    staging and no shuffle of it, unlike an anti join with the fact.
+    The keys are looked up again with outer joins, in one scan of staging. Lost
+    tickets are found by ticket number, a missing one counting as a number: both
+    sides are reduced to rows per number before they are joined, so this shuffles
+    one narrow column of staging and of the fact.
     """
     keyed = attach_keys(
         staging, star.locations, star.request_types, star.departments, star.statuses, "left"
     )
     keys = ["location_key", "request_type_key", "department_key", "status_key"]
-    missing = {f"no {key}": F.col(key).isNull() for key in keys}
-    lost = reduce(Column.__or__, missing.values())
-    return _count_rules(keyed, {**missing, "lost tickets": lost})
+    missing = _count_rules(keyed, {f"no {key}": F.col(key).isNull() for key in keys})
+
+    def per_ticket(table: DataFrame, name: str) -> DataFrame:
+        return table.groupBy("ticket_number").agg(F.count(F.lit(1)).alias(name))
+
+    staged = per_ticket(staging, "_staged")
+    stored = per_ticket(star.fact, "_stored").withColumnRenamed("ticket_number", "_ticket")
+    both = staged.join(stored, F.col("ticket_number").eqNullSafe(F.col("_ticket")), "left")
+    lost = F.greatest(F.col("_staged") - F.coalesce(F.col("_stored"), F.lit(0)), F.lit(0))
+    return _stack([missing, _rules(both.agg(total(lost).alias("_0")), ["lost tickets"])])
 
 
 def zip_codes_per_location(staging: DataFrame) -> DataFrame:

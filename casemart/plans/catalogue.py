@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import threading
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +21,9 @@ from pyspark.sql import types as T
 from casemart.operators import audit, cleaning, dimensions, drilldown, integrity, marts
 from casemart.operators.fact import FACT_COLUMNS, build_fact
 from casemart.operators.star import Star
-from casemart.plans.oracle import AS_OF, CATEGORY, DEPARTMENT, DISTRICT, PRIORITY
+from casemart.plans.choices import AS_OF, CATEGORY, DEPARTMENT, DISTRICT, PRIORITY
 from casemart.plans.pipeline import run_pipeline
-from casemart.plans.warehouse import Warehouse, build_warehouse
+from casemart.plans.warehouse import Warehouse, build_warehouse, open_views, open_warehouse
 from casemart.schema import RAW_COLUMNS
 from casemart.session import sized_shuffles, work_folder
 from casemart.sinks import exports
@@ -75,7 +75,7 @@ def prepare(spark: SparkSession, folder: str) -> Prepared:
     with _lock:
         if key not in _prepared:
             scratch = scratch_folder(spark, folder)
-            with sized_shuffles(spark, folder):
+            with sized_shuffles(derive_tickets(spark, folder)):
                 raw = land_tickets(spark, folder)
                 warehouse = build_warehouse(spark, raw, ARRIVAL, f"{scratch}/warehouse")
             _prepared[key] = Prepared(scratch, raw, warehouse)
@@ -128,6 +128,71 @@ def _fact_left(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(fact)
 
 
+def _fact_left_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw tickets, with missing places and padded names, keep their rows without keys."""
+    ready = prepare(spark, folder)
+    star = ready.star
+    fact = build_fact(
+        ready.raw, star.locations, star.request_types, star.departments, star.statuses, "left"
+    )
+    keys = ["location_key", "request_type_key", "department_key", "status_key"]
+    return comparable(fact).withColumns({key: F.col(key).cast("double") for key in keys})
+
+
+def _lost_raw(spark: SparkSession, folder: str) -> DataFrame:
+    ready = prepare(spark, folder)
+    return integrity.check_lost_tickets(ready.raw, ready.star)
+
+
+def _unique_raw(raw: DataFrame) -> DataFrame:
+    keys = [["ticket_number"], ["district_code", "neighborhood"], ["status"]]
+    rules = [integrity.unique_violations(raw, own, f"raw({', '.join(own)})") for own in keys]
+    return reduce(DataFrame.unionByName, rules)
+
+
+def _holed(star: Star) -> Star:
+    """A star whose dimensions lack some of the rows that the fact refers to."""
+    return replace(
+        star,
+        dates=star.dates.filter("month <> 3"),
+        locations=star.locations.filter("location_key % 2 = 0"),
+        request_types=star.request_types.filter("request_type_key % 3 <> 0"),
+        departments=star.departments.filter("department_key > 5"),
+        statuses=star.statuses.filter("is_closed"),
+    )
+
+
+def _long_texts(raw: DataFrame) -> DataFrame:
+    """Tickets with every text twelve times over, so that limits are broken."""
+    texts = [field.name for field in raw.schema if isinstance(field.dataType, T.StringType)]
+    return raw.withColumns({name: F.repeat(name, F.lit(12)) for name in texts})
+
+
+def _large_numbers(raw: DataFrame) -> DataFrame:
+    return raw.withColumns(
+        {
+            "target_sla_hours": F.col("target_sla_hours").cast("double") * 1_000_000,
+            "latitude": F.col("latitude").cast("double") * 307,
+            "longitude": F.col("longitude").cast("double") * 100,
+        }
+    )
+
+
+def _places_with_many_zips(raw: DataFrame) -> DataFrame:
+    return integrity.zip_codes_per_location(
+        raw.select(
+            F.col("priority_level").alias("district_code"),
+            F.col("division_name").alias("neighborhood"),
+            "zip_code",
+        )
+    )
+
+
+def _unique(spark: SparkSession, folder: str) -> DataFrame:
+    ready = prepare(spark, folder)
+    return integrity.check_unique({"staging": ready.staging, **ready.star.tables()})
+
+
 def _lost(spark: SparkSession, folder: str) -> DataFrame:
     ready = prepare(spark, folder)
     return integrity.check_lost_tickets(ready.staging, ready.star)
@@ -149,11 +214,7 @@ def _shown_departments(star: Star) -> DataFrame:
 
 
 def _options(star: Star) -> DataFrame:
-    return drilldown.filter_options(
-        marts.department_performance(star),
-        marts.category_breakdown(star),
-        marts.geographic_distribution(star),
-    )
+    return drilldown.filter_options(star.departments, marts.kinds(star), marts.places(star))
 
 
 def _chosen(star: Star) -> Star:
@@ -164,16 +225,61 @@ def _placed(star: Star) -> Star:
     return drilldown.filter_star(star, district=DISTRICT, category=CATEGORY)
 
 
-def _payload_json(spark: SparkSession, folder: str) -> DataFrame:
-    frames = marts.all_marts(prepare(spark, folder).star, AS_OF, marts.TRENDS_SHOWN)
-    return exports.payload_json(frames)
+def cells(section: str, frame: DataFrame, place: str) -> DataFrame:
+    """A row per value of a mart: section, place, field, and the value as number or text."""
+    values = []
+    for field in frame.schema:
+        if field.name == place:
+            continue
+        text = isinstance(field.dataType, T.StringType)
+        number = F.lit(None).cast("double") if text else F.col(field.name).cast("double")
+        words = F.col(field.name) if text else F.lit(None).cast("string")
+        values.append(F.struct(F.lit(field.name).alias("field"), number.alias("number"), words.alias("text")))
+    return frame.select(F.lit(section).alias("section"), F.col(place), F.inline(F.array(*values)))
+
+
+def _document(spark: SparkSession, folder: str, indent: bool) -> DataFrame:
+    """Every value of the payload, from its files."""
+    ready = prepare(spark, folder)
+    frames = marts.all_marts(ready.star, AS_OF)
+    path = f"{ready.scratch}/payload_{indent}"
+    exports.write_payload(frames, path, indent)
+    records = exports.read_payload(spark, path, f"{path}_lines")
+    parts = [
+        cells(section, exports.payload_section(records, section, exports.plain(frames[view]).schema), "position")
+        for section, view in zip(exports.SECTIONS, marts.VIEWS, strict=True)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# What names a record of each section.
+_NAMES = {
+    "overview": [],
+    "departments": ["department_name", "division_name"],
+    "monthly_trends": ["year_month"],
+    "geo_distribution": ["district_code", "neighborhood"],
+    "categories": ["request_category", "request_type_name", "priority_level"],
+    "backlog_aging": ["department_name", "request_category"],
+}
+
+
+def _views_of_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value of the six views of a warehouse that is opened by its place."""
+    ready = prepare(spark, folder)
+    open_views(spark, ready.warehouse.root, AS_OF)
+    parts = []
+    for section, view in zip(exports.SECTIONS, marts.VIEWS, strict=True):
+        frame = exports.plain(spark.table(view))
+        name = F.concat_ws("|", *_NAMES[section])
+        parts.append(cells(section, frame.select(name.alias("name"), *frame.columns), "name"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     ready = prepare(spark, folder)
     path = f"{ready.scratch}/csv"
     exports.write_tickets(ready.raw, path)
-    return comparable(read_tickets(spark, path, "csv").select(*RAW_COLUMNS))
+    return comparable(read_tickets(spark, path, "csv", escaped=True).select(*RAW_COLUMNS))
 
 
 # The ticket and breach counts of each mart, where it has them.
@@ -203,18 +309,6 @@ def totals(sections: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def _json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    ready = prepare(spark, folder)
-    frames = marts.all_marts(ready.star, AS_OF, marts.TRENDS_SHOWN)
-    path = f"{ready.scratch}/payload"
-    exports.write_payload(frames, path)
-    document = exports.read_payload(spark, path, exports.payload_schema(frames))
-    sections = {"overview": document.select("overview.*")}
-    for section in exports.SECTIONS[1:]:
-        sections[section] = document.select(F.inline(section))
-    return comparable(totals(sections))
-
-
 def _views_by_name(spark: SparkSession, folder: str) -> DataFrame:
     marts.register_views(prepare(spark, folder).star, AS_OF)
     found = {
@@ -228,8 +322,9 @@ def _rerun(spark: SparkSession, folder: str) -> DataFrame:
     ready = prepare(spark, folder)
     root = f"{ready.scratch}/rerun"
     for _ in range(2):
-        run = run_pipeline(spark, ready.raw, root, AS_OF, arrival=ARRIVAL)
-    return comparable(totals(dict(zip(exports.SECTIONS, run.marts.values(), strict=True))))
+        run_pipeline(spark, ready.raw, root, AS_OF, arrival=ARRIVAL)
+    found = marts.all_marts(open_warehouse(spark, root).star(), AS_OF)
+    return comparable(totals(dict(zip(exports.SECTIONS, found.values(), strict=True))))
 
 
 def all_queries() -> dict[str, Query]:
@@ -258,20 +353,37 @@ def all_queries() -> dict[str, Query]:
         "dq_overall": _on_raw(lambda raw: audit.passed(audit.audit(raw))),
         "date_bounds": _on_staging(dimensions.date_bounds),
         "dim_date": _on_staging(lambda staging: dimensions.dim_date(dimensions.date_bounds(staging))),
-        "dim_location": _on_staging(dimensions.dim_location),
-        "dim_request_type": _on_staging(dimensions.dim_request_type),
-        "dim_department": _on_staging(dimensions.dim_department),
-        "dim_status": _on_staging(dimensions.dim_status),
+        "dim_location": _on_star(lambda star: star.locations),
+        "dim_request_type": _on_star(lambda star: star.request_types),
+        "dim_department": _on_star(lambda star: star.departments),
+        "dim_status": _on_star(lambda star: star.statuses),
         "fact_service_requests": _on_star(lambda star: star.fact.select(*FACT_COLUMNS)),
         "fact_left_join": _fact_left,
-        "constraint_unique": _on_star(lambda star: integrity.check_unique(star.tables())),
+        "fact_left_join_unmatched": _fact_left_unmatched,
+        "constraint_unique": _unique,
+        "constraint_unique_raw": _on_raw(_unique_raw),
         "constraint_not_null": _on_star(lambda star: integrity.check_not_null(star.tables())),
+        "constraint_not_null_raw": _on_raw(
+            lambda raw: integrity.check_not_null({"raw": raw}, {"raw": RAW_COLUMNS})
+        ),
         "constraint_fk_orphans": _on_star(integrity.check_foreign_keys),
+        "constraint_fk_holed": _on_star(lambda star: integrity.check_foreign_keys(_holed(star))),
         "constraint_lost_tickets": _lost,
-        "constraint_length": _on_staging(
-            lambda staging: integrity.check_text_limits({"staging": staging})
+        "constraint_lost_raw": _lost_raw,
+        "constraint_length": lambda spark, folder: integrity.check_text_limits(
+            {"staging": prepare(spark, folder).staging, **prepare(spark, folder).star.tables()}
+        ),
+        "constraint_length_raw": _on_raw(
+            lambda raw: integrity.check_text_limits({"staging": _long_texts(raw)})
+        ),
+        "constraint_ranges": lambda spark, folder: integrity.check_number_ranges(
+            {"staging": prepare(spark, folder).staging, **prepare(spark, folder).star.tables()}
+        ),
+        "constraint_ranges_raw": _on_raw(
+            lambda raw: integrity.check_number_ranges({"staging": _large_numbers(raw)})
         ),
         "location_grain_conflicts": _on_staging(integrity.zip_codes_per_location),
+        "location_conflicts_raw": _on_raw(_places_with_many_zips),
         "kpi_operational_overview": _on_star(marts.operational_overview),
         "kpi_department_performance": _on_star(marts.department_performance),
         "dept_compliance_all": _on_star(_compliance_over_all),
@@ -319,9 +431,10 @@ def all_queries() -> dict[str, Query]:
         "drilldown_departments": _on_star(lambda star: marts.department_performance(_placed(star))),
         "drilldown_categories": _on_star(lambda star: marts.category_breakdown(_chosen(star))),
         "drilldown_geography": _on_star(lambda star: marts.geographic_distribution(_chosen(star))),
-        "kpi_payload_json": _payload_json,
+        "kpi_payload_json": lambda spark, folder: _document(spark, folder, indent=False),
         "csv_roundtrip": _csv_roundtrip,
-        "json_roundtrip": _json_roundtrip,
+        "json_roundtrip": lambda spark, folder: _document(spark, folder, indent=True),
         "views_by_name": _views_by_name,
+        "views_of_published": _views_of_published,
         "pipeline_rerun_totals": _rerun,
     }

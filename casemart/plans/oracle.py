@@ -6,7 +6,7 @@ grouping per mart) and shares nothing with the Spark plans but the definitions.
 
 from __future__ import annotations
 
-AS_OF = "2001-08-02"
+from casemart.plans.choices import AS_OF, CATEGORY, DEPARTMENT, DISTRICT, PRIORITY
 
 # The characters that stripping removes, as SQL.
 _WHITESPACE = " || ".join(
@@ -475,11 +475,6 @@ _TOTALS = """
         from (select count(*) as n from open_tickets group by department_name, request_category)"""
 _MARTS = "overview performance trends geography categories open_tickets"
 
-DEPARTMENT = "ASIA"
-CATEGORY = "ECONOMY"
-PRIORITY = "2-HIGH"
-DISTRICT = "DIST-01"
-
 _CHOSEN = f"""
     fact semi join (select department_key from teams where department_name = '{DEPARTMENT}')
         using (department_key)
@@ -497,6 +492,102 @@ def _on(source: str, table: str) -> str:
     return _TABLES[table].replace("from fact", f"from (select * from {source}) as fact")
 
 
+# The columns of the marts by payload section; text columns are named first.
+_SECTIONS = {
+    "overview": ("", "total_requests total_closed_requests current_backlog avg_resolution_hours "
+        "avg_satisfaction_rating total_sla_breaches sla_compliance_pct total_repeat_incidents "
+        "repeat_incident_pct", "from overview", "1"),
+    "departments": ("department_name division_name", "total_tickets closed_tickets open_backlog "
+        "avg_resolution_hours avg_target_sla_hours sla_breach_count sla_compliance_pct "
+        "avg_satisfaction workload_rank", "from performance", "department_name, division_name"),
+    "monthly_trends": ("year_month month_name", "year month ticket_volume prev_month_volume "
+        "mom_volume_growth_pct avg_resolution_hours sla_breaches", "from trends", "year, month"),
+    "geo_distribution": ("district_code neighborhood region_zone", "total_requests sla_breaches "
+        "avg_resolution_hours repeat_count district_lat district_lng", "from geography",
+        "total_requests desc, district_code, neighborhood"),
+    "categories": ("request_category request_type_name priority_level", "request_count "
+        "avg_resolution_hours sla_breached_count breach_rate_pct", "from categories",
+        "request_count desc, request_category, request_type_name, priority_level"),
+    "backlog_aging": ("department_name request_category", "total_backlog_tickets aging_0_to_3_days "
+        "aging_4_to_7_days aging_8_to_14_days aging_over_14_days max_open_days",
+        f"from (select department_name, request_category, {_AGES} from open_tickets group by all)",
+        "department_name, request_category"),
+}
+_NAMES = {
+    "overview": "''",
+    "departments": "department_name || '|' || division_name",
+    "monthly_trends": "year_month",
+    "geo_distribution": "district_code || '|' || neighborhood",
+    "categories": "request_category || '|' || request_type_name || '|' || priority_level",
+    "backlog_aging": "department_name || '|' || request_category",
+}
+
+
+def _cells(place: str) -> str:
+    """A row per value of every mart, with its position or its name."""
+    parts = []
+    for section, (texts, numbers, source, order) in _SECTIONS.items():
+        own = f"row_number() over (order by {order})" if place == "position" else _NAMES[section]
+        values = [
+            f"{{'field': '{name}', 'number': cast(null as double), 'text': cast({name} as varchar)}}"
+            for name in texts.split()
+        ] + [
+            f"{{'field': '{name}', 'number': cast({name} as double), 'text': cast(null as varchar)}}"
+            for name in numbers.split()
+        ]
+        parts.append(
+            f"select '{section}' as section, place as {place}, cell.field as field, "
+            f"cell.number as number, cell.text as text from (select place, unnest(cells) as cell from "
+            f"(select {own} as place, [{', '.join(values)}] as cells {source}))"
+        )
+    return " union all ".join(parts)
+
+
+def _raw_fact() -> str:
+    """The left-joined fact of raw tickets."""
+    timed = _TABLES["timed"].replace("from staged", "from raw")
+    fact = _TABLES["fact"].replace("\n        join", "\n        left join").replace("from timed", f"from ({timed}) as timed")
+    keys = "location_key request_type_key department_key status_key".split()
+    select = _FACT_SELECT
+    for key in keys:
+        select = select.replace(f"{key}, ", f"cast({key} as double) as {key}, ", 1)
+    return f"select {select} from ({fact})"
+
+
+_HOLED = {
+    "dim_date": "month <> 3",
+    "dim_location": "location_key % 2 = 0",
+    "dim_request_type": "request_type_key % 3 <> 0",
+    "dim_department": "department_key > 5",
+    "dim_status": "is_closed",
+}
+_ALL_LENGTHS = {
+    "staged": ("staging", _LENGTHS),
+    "dates": ("dim_date", {"quarter_name": 10, "month_name": 20, "day_name": 20}),
+    "locations": ("dim_location", {"district_code": 20, "neighborhood": 100, "zip_code": 20, "region_zone": 50}),
+    "kinds": ("dim_request_type", {"request_category": 100, "request_type_name": 150, "priority_level": 20}),
+    "teams": ("dim_department", {"department_name": 100, "division_name": 100, "department_head": 100}),
+    "statuses": ("dim_status", {"status_name": 50}),
+    "fact": ("fact_service_requests", {"ticket_number": 50}),
+}
+_RANGES = {
+    "staged": ("staging", {"target_sla_hours": 8, "latitude": 4, "longitude": 4}),
+    "locations": ("dim_location", {"latitude": 4, "longitude": 4}),
+    "kinds": ("dim_request_type", {"default_sla_hours": 8}),
+    "fact": ("fact_service_requests", {"resolution_time_hours": 8, "target_sla_hours": 8, "sla_variance_hours": 8}),
+}
+_NUMBERED = {"staging(raw_id)": "staged", "fact_service_requests(fact_id)": "fact"}
+
+
+def _numbered_rules() -> str:
+    """Keys that number the rows of a table."""
+    return " union all ".join(
+        f"select '{rule}' as rule, count(*) - count(distinct id) as violations from "
+        f"(select row_number() over () as id from {table})"
+        for rule, table in _NUMBERED.items()
+    )
+
+
 def oracle_queries() -> dict[str, str]:
     """SQL by query name."""
     dim = with_tables
@@ -550,21 +641,84 @@ def oracle_queries() -> dict[str, str]:
         ),
         "constraint_unique": dim(
             _ALL,
-            _unique_rules()
-            + " union all select 'fact_service_requests(fact_id)' as rule, 0 as violations",
+            f"{_unique_rules()} union all {_numbered_rules()}",
+        ),
+        "constraint_unique_raw": dim(
+            "raw",
+            " union all ".join(
+                f"select 'raw({keys})' as rule, count(*) filter (place > 1) as violations from (select "
+                f"row_number() over (partition by {keys}) as place from raw where {keys.split(', ')[0]} is not null)"
+                for keys in ["ticket_number", "district_code, neighborhood", "status"]
+            ),
+        ),
+        "constraint_not_null_raw": dim(
+            "raw", _unpivoted([(f"raw.{name}", f"{name} is null") for name in _RAW], "raw")
         ),
+        "constraint_fk_holed": dim(
+            _ALL,
+            " union all ".join(
+                f"select '{column} -> {dimension}' as rule, count(*) as violations from fact where {column} "
+                f"is not null and {column} not in (select {key} from {_STORED[dimension]} where {_HOLED[dimension]})"
+                for column, dimension, key in _REFERENCES
+            ),
+        ),
+        "constraint_lost_raw": dim(
+            _ALL,
+            _unpivoted(
+                [(f"no {key}", f"{key} is null") for key in
+                 ["location_key", "request_type_key", "department_key", "status_key"]],
+                "(" + _LOST.replace("from staged", "from raw as staged") + ")",
+            )
+            + " union all select 'lost tickets' as rule, cast(sum(greatest(n - kept, 0)) as bigint) as violations from "
+            "(select ticket_number, count(*) as n from raw group by all) left join "
+            "(select ticket_number, count(*) as kept from fact group by all) using (ticket_number)",
+        ),
+        "constraint_length_raw": dim(
+            "raw",
+            _unpivoted(
+                [(f"staging.{name}", f"length(repeat({name}, 12)) > {limit}") for name, limit in _LENGTHS.items()],
+                "raw",
+            ),
+        ),
+        "constraint_ranges": dim(
+            f"{_ALL} staged",
+            " union all ".join(
+                _unpivoted([(f"{name}.{c}", f"abs({c}) >= 1e{whole}") for c, whole in columns.items()], table)
+                for table, (name, columns) in _RANGES.items()
+            ),
+        ),
+        "constraint_ranges_raw": dim(
+            "raw",
+            _unpivoted(
+                [
+                    ("staging.target_sla_hours", "cast(target_sla_hours as double) * 1000000 >= 1e8"),
+                    ("staging.latitude", "abs(cast(latitude as double) * 307) >= 1e4"),
+                    ("staging.longitude", "abs(cast(longitude as double) * 100) >= 1e4"),
+                ],
+                "raw",
+            ),
+        ),
+        "location_conflicts_raw": dim(
+            "raw",
+            "select priority_level as district_code, division_name as neighborhood, "
+            "count(distinct zip_code) as zip_codes, count(distinct zip_code) > 1 as is_conflict "
+            "from raw group by all",
+        ),
+        "fact_left_join_unmatched": dim("raw locations kinds teams statuses", _raw_fact()),
+        "views_of_published": dim(_MARTS, _cells("name")),
+        "kpi_payload_json": dim(_MARTS, _cells("position")),
         "constraint_not_null": dim(
             _ALL,
-            _not_null_rules()
-            + " union all select 'fact_service_requests.fact_id' as rule, 0 as violations",
+            f"{_not_null_rules()} union all select 'fact_service_requests.fact_id' as rule, "
+            "count(*) filter (id is null) as violations from (select row_number() over () as id from fact)",
         ),
         "constraint_fk_orphans": dim(_ALL, _reference_rules()),
         "constraint_lost_tickets": dim(_ALL, _lost_rules()),
         "constraint_length": dim(
-            "staged",
-            _unpivoted(
-                [(f"staging.{name}", f"length({name}) > {limit}") for name, limit in _LENGTHS.items()],
-                "staged",
+            f"{_ALL} staged",
+            " union all ".join(
+                _unpivoted([(f"{name}.{c}", f"length({c}) > {limit}") for c, limit in columns.items()], table)
+                for table, (name, columns) in _ALL_LENGTHS.items()
             ),
         ),
         "location_grain_conflicts": dim(
@@ -637,10 +791,7 @@ def oracle_queries() -> dict[str, str]:
         "drilldown_categories": dim("fact", _on(_CHOSEN, "categories")),
         "drilldown_geography": dim("fact", _on(_CHOSEN, "geography")),
         "csv_roundtrip": dim("raw", f"select {_columns()} from raw"),
-        "json_roundtrip": dim(
-            _MARTS,
-            _TOTALS.replace("{trends}", "(select * from trends order by year, month limit 12)"),
-        ),
+        "json_roundtrip": dim(_MARTS, _cells("position")),
         "views_by_name": dim(_MARTS, _TOTALS.replace("{trends}", "trends")),
         "pipeline_rerun_totals": dim(_MARTS, _TOTALS.replace("{trends}", "trends")),
     }

@@ -8,16 +8,17 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casemart.operators.audit import audit
+from casemart.operators.audit import audit, check_rows
 from casemart.operators.drilldown import headlines
 from casemart.operators.integrity import (
     check_foreign_keys,
     check_lost_tickets,
     check_not_null,
+    check_number_ranges,
     check_text_limits,
     check_unique,
 )
-from casemart.operators.marts import TRENDS_SHOWN, VIEWS, all_marts, register_views
+from casemart.operators.marts import VIEWS, all_marts, register_views
 from casemart.plans.warehouse import (
     Warehouse,
     build_dimensions,
@@ -27,7 +28,7 @@ from casemart.plans.warehouse import (
     together,
     write_fact,
 )
-from casemart.session import sized_shuffles
+from casemart.session import BYTES_PER_PARTITION, MOST_PARTITIONS, sized_shuffles
 from casemart.sinks.exports import write_marts, write_payload
 from casemart.sources.tickets import ARRIVAL, read_tickets
 
@@ -38,6 +39,7 @@ class PipelineRun:
 
     warehouse: Warehouse
     staged_rows: int
+    raw_audit: DataFrame
     audit_log: DataFrame
     integrity: DataFrame
     marts: dict[str, DataFrame]
@@ -53,29 +55,53 @@ def run_pipeline(
     fmt: str = "parquet",
     arrival: Sequence[str] = tuple(ARRIVAL),
     how: str = "inner",
+    months: int | None = None,
+    bytes_per_partition: int = BYTES_PER_PARTITION,
+    most_partitions: int = MOST_PARTITIONS,
 ) -> PipelineRun:
-    """Clean, stage, audit, build the star, compute the marts, export, publish.
+    """Clean, stage, audit, build the star, compute the marts, publish, export.
 
     `source` is a path read with `fmt`, or raw tickets with `arrival` columns.
-    For a path, shuffles are sized by its files; for a frame, by the session.
-    The audit reports and does not stop the run. The new version is published
-    last; running again replaces the current version and adds to nothing.
+    Shuffles start with a partition per `bytes_per_partition` of the tables that
+    are read, and `most_partitions` at most. `months` limits the exported trends
+    to that many of the earliest months; all are exported by default.
+
+    The raw tickets are audited as they arrived; staging only for what cleaning
+    does not settle. Audits report and do not stop the run. The new version is
+    published when its tables, checks and marts are written, and exported after
+    that: an export that fails leaves it published. Running again replaces the
+    current version and adds to nothing.
     """
     if isinstance(source, str):
-        with sized_shuffles(spark, source):
-            return run_pipeline(
-                spark, read_tickets(spark, source, fmt), root, as_of, export, arrival=ARRIVAL, how=how
-            )
+        source, arrival = read_tickets(spark, source, fmt), ARRIVAL
+    with sized_shuffles(source, bytes_per_partition, most_partitions):
+        return _run(spark, source, root, as_of, export, arrival, how, months)
+
+
+def _run(
+    spark: SparkSession,
+    source: DataFrame,
+    root: str,
+    as_of: date | str | None,
+    export: bool,
+    arrival: Sequence[str],
+    how: str,
+    months: int | None,
+) -> PipelineRun:
     warehouse = new_version(spark, root)
-    staged_rows = stage(warehouse, source, arrival)
 
     def save(frame: DataFrame, name: str) -> DataFrame:
         frame.write.mode("overwrite").parquet(warehouse.path(name))
         return spark.read.schema(frame.schema).parquet(warehouse.path(name))
 
-    audit_log, _ = together(
+    staged_rows, raw_audit = together(
         spark,
-        lambda: save(audit(warehouse.staging()), "audit_log"),
+        lambda: stage(warehouse, source, arrival),
+        lambda: save(audit(source), "raw_audit"),
+    )
+    audit_log, dimension_keys = together(
+        spark,
+        lambda: save(check_rows(warehouse.staging()), "audit_log"),
         lambda: build_dimensions(warehouse),
     )
     write_fact(warehouse, how)
@@ -84,32 +110,35 @@ def run_pipeline(
     computed = all_marts(star, as_of)
     saved = together(
         spark,
-        lambda: save(_integrity(warehouse), "integrity"),
+        lambda: save(_integrity(warehouse, dimension_keys), "integrity"),
         *[lambda name=name: save(computed[name], f"marts/{name}") for name in VIEWS],
     )
     integrity, marts = saved[0], dict(zip(VIEWS, saved[1:], strict=True))
+    publish(warehouse)
+    register_views(star, as_of)
     if export:
         write_marts(marts, warehouse.path("export"))
         trends = VIEWS[2]
-        shown = marts[trends].orderBy("year", "month").limit(TRENDS_SHOWN)
+        shown = marts[trends] if months is None else marts[trends].orderBy("year", "month").limit(months)
         write_payload({**marts, trends: shown}, warehouse.path("export/kpi_payload"))
-    publish(warehouse)
-    register_views(star, as_of)
     return PipelineRun(
-        warehouse, staged_rows, audit_log, integrity, marts, headlines(marts[VIEWS[0]])
+        warehouse, staged_rows, raw_audit, audit_log, integrity, marts, headlines(marts[VIEWS[0]])
     )
 
 
-def _integrity(warehouse: Warehouse) -> DataFrame:
+def _integrity(warehouse: Warehouse, dimension_keys: DataFrame) -> DataFrame:
+    """All checks; the keys of the dimensions were checked when they were built."""
     star = warehouse.star()
     tables = star.tables()
     checks = [
+        check_unique({"fact_service_requests": star.fact}),
         check_not_null(tables),
         check_foreign_keys(star),
         check_lost_tickets(warehouse.staging(), star),
         check_text_limits({"staging": warehouse.staging(), **tables}),
+        check_number_ranges({"staging": warehouse.staging(), **tables}),
     ]
-    result = check_unique(tables)
+    result = dimension_keys
     for check in checks:
         result = result.unionByName(check)
     return result

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ from casemart.operators import dimensions
 from casemart.operators.cleaning import clean
 from casemart.operators.fact import build_fact
 from casemart.operators.integrity import check_unique
+from casemart.operators.marts import register_views
 from casemart.operators.star import Star
 from casemart.schema import TABLES
 
@@ -89,17 +90,25 @@ def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
         return [job.result() for job in running]
 
 
-def build_dimensions(warehouse: Warehouse) -> None:
-    """Write the five dimensions and check their keys.
+def build_dimensions(warehouse: Warehouse) -> DataFrame:
+    """Write the five dimensions, numbered; return the checks of their keys.
 
     Each reads its own columns of staging and no others, so the five scans
-    together read every column once. A dimension with a repeated key would
-    multiply the rows joined to it; no fact is built on one.
+    together read every column once. The sorted rows that the numbers come from
+    stay in the version's folder. A dimension with a repeated key would multiply
+    the rows joined to it; no fact is built on one.
     """
     staging = warehouse.staging()
 
     def write(name: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
-        return lambda: build().write.mode("overwrite").parquet(warehouse.path(name))
+        def job() -> None:
+            rows = build()
+            if name in dimensions.KEYS:
+                key, order = dimensions.KEYS[name]
+                rows = dimensions.number_rows(rows, order, key, warehouse.path(f"sorted/{name}"))
+            rows.write.mode("overwrite").parquet(warehouse.path(name))
+
+        return job
 
     together(
         warehouse.spark,
@@ -111,8 +120,11 @@ def build_dimensions(warehouse: Warehouse) -> None:
     )
     tables = {name: warehouse.table(name) for name in TABLES if name.startswith("dim_")}
     # One row per rule.
-    for row in check_unique(tables).filter("violations > 0").collect():
-        raise ValueError(f"{row['rule']} has {row['violations']} repeated keys")
+    found = check_unique(tables).collect()
+    for row in found:
+        if row["violations"] > 0:
+            raise ValueError(f"{row['rule']} has {row['violations']} repeated keys")
+    return warehouse.spark.createDataFrame(found, "rule STRING, violations BIGINT")
 
 
 def write_fact(warehouse: Warehouse, how: str = "inner") -> None:
@@ -163,9 +175,16 @@ def build_warehouse(
 
 
 def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    """The current version."""
+    """The current version: the one that was published last."""
     published = spark.read.schema("version STRING, published_at TIMESTAMP").json(f"{root}/published")
-    version = published.agg(F.max("version")).first()[0]
+    version = published.agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
     if version is None:
         raise ValueError(f"no version is published in {root}")
     return Warehouse(spark, root.rstrip("/"), version)
+
+
+def open_views(spark: SparkSession, root: str, as_of: date | str | None = None) -> Warehouse:
+    """The current version, with its tables and the six marts as views for spark.sql."""
+    warehouse = open_warehouse(spark, root)
+    register_views(warehouse.star(), as_of)
+    return warehouse

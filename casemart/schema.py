@@ -33,11 +33,12 @@ RAW_COLUMNS = RAW.fieldNames()
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# Declared constraints, table by table. Spark enforces none of these, so
+# Declared constraints, table by table. Spark enforces none of these, so
 # operators.integrity turns each one into a count of violations.
 
 # PRIMARY KEY and UNIQUE column sets.
 UNIQUE = {
+    "staging": [["raw_id"]],
     "dim_date": [["date_key"], ["full_date"]],
     "dim_location": [["location_key"], ["district_code", "neighborhood"]],
     "dim_request_type": [
@@ -101,7 +102,17 @@ TEXT_LIMITS = {
     "fact_service_requests": {"ticket_number": 50},
 }
 
-# Column types of the stored tables, as DDL. raw_id, fact_id and the load times
+# Whole digits of NUMERIC(precision, scale) columns.
+NUMBER_LIMITS = {
+    "staging": {"target_sla_hours": 8, "latitude": 4, "longitude": 4},
+    "dim_location": {"latitude": 4, "longitude": 4},
+    "dim_request_type": {"default_sla_hours": 8},
+    "fact_service_requests": {
+        "resolution_time_hours": 8, "target_sla_hours": 8, "sla_variance_hours": 8,
+    },
+}
+
+# Column types of the stored tables, as DDL. raw_id, fact_id and the load times
 # are added when a table is written; created_month is the fact's partition.
 TABLES = {
     "staging": (

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter on a large cluster; all of them are ordinary Spark options.
 CLUSTER_SETTINGS = {
@@ -35,15 +33,12 @@ def session(app_name: str = "casemart", settings: dict[str, str] | None = None)
 def work_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 
-    It is the one the cluster names in spark.checkpoint.dir, which every
-    executor can reach. Only a local session may fall back to a folder of its own.
+    It is the one named in spark.checkpoint.dir, which every executor can reach.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="casemart-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -51,6 +46,7 @@ def work_folder(spark: SparkSession) -> str:
 
 # Shuffles start with one partition per this many input bytes, up to a number
 # that the driver can still track; beyond it partitions grow and sorts spill.
+# run_pipeline takes others as parameters.
 BYTES_PER_PARTITION = 256 << 20
 MOST_PARTITIONS = 40_000
 
@@ -69,28 +65,39 @@ def _setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """The length of all files under `path`, from their listing; none is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    # Files are packed into tasks by size. Nothing is read, so a few tasks will do.
-    with _setting(spark, "spark.sql.files.maxPartitionBytes", "1t"):
-        return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+def input_bytes(frame: DataFrame) -> int:
+    """The size of the tables a frame reads, as Spark's statistics have it.
+
+    Files count with their length; no file is opened and no job runs. Rows that a
+    program made itself have no known size and count as nothing.
+    """
+    spark = frame.sparkSession
+    unknown = spark._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.length())]
+    return sum(size for size in sizes if size < unknown)
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, path: str) -> Iterator[int]:
-    """Size the shuffles of a block by the files under `path`.
+def sized_shuffles(
+    frame: DataFrame,
+    bytes_per_partition: int = BYTES_PER_PARTITION,
+    most_partitions: int = MOST_PARTITIONS,
+) -> Iterator[int]:
+    """Size the shuffles of a block by the tables that `frame` reads.
 
     Adaptive execution merges partitions that turn out small but never starts
     with more than its initial number, which by default does not know the input.
-    The number is only raised, and left alone when the session sets it.
+    The number is only raised, and left alone when the session sets it. The
+    setting is the session's, so other queries of the session see it meanwhile.
     """
+    spark = frame.sparkSession
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     chosen = spark.conf.get(initial, None)
     if chosen is not None:
         yield int(chosen)
         return
-    wanted = min(-(-input_bytes(spark, path) // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    wanted = min(-(-input_bytes(frame) // bytes_per_partition), most_partitions)
     number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     with _setting(spark, initial, number):
         yield number

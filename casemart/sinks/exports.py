@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casemart.operators.dimensions import number_rows
 from casemart.operators.marts import VIEWS
-from casemart.schema import RAW_COLUMNS, TIMESTAMP_FORMAT
+from casemart.schema import RAW, TIMESTAMP_FORMAT
 
 # The sections of the payload, in the order of the marts.
 SECTIONS = [
@@ -21,15 +22,15 @@ SECTIONS = [
     "backlog_aging",
 ]
 
-# The payload is one document, so each of its lists is held by one task. Larger
-# marts are refused here and exported whole by write_marts.
-PAYLOAD_ROWS = 200_000
-
-
 def write_tickets(tickets: DataFrame, path: str) -> None:
-    """Raw tickets as CSV with a header; spaces around text are kept."""
+    """Raw tickets as CSV with a header; spaces around text are kept.
+
+    Line breaks in text are written as \\n and \\r, and backslashes as \\\\, so
+    that a ticket is one line and the files can be split; read_tickets with
+    escaped=True turns them back.
+    """
     (
-        tickets.select(*RAW_COLUMNS)
+        tickets.select(*[_escaped(field) for field in RAW])
         .write.mode("overwrite")
         .options(
             header=True,
@@ -42,6 +43,15 @@ def write_tickets(tickets: DataFrame, path: str) -> None:
     )
 
 
+def _escaped(field: T.StructField) -> Column:
+    column = F.col(field.name)
+    if not isinstance(field.dataType, T.StringType):
+        return column
+    for found, written in [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")]:
+        column = F.replace(column, F.lit(found), F.lit(written))
+    return column.alias(field.name)
+
+
 def plain(mart: DataFrame) -> DataFrame:
     """Decimals as doubles, dates and times as text: types JSON readers know."""
 
@@ -77,50 +87,83 @@ def _section_order(section: str) -> list[Column]:
     }[section]
 
 
-def _records(section: str, mart: DataFrame) -> DataFrame:
-    """One row holding the mart as an ordered list of records."""
-    held = mart.limit(PAYLOAD_ROWS + 1).count()
-    if held > PAYLOAD_ROWS:
-        raise ValueError(
-            f"{section} has more than {PAYLOAD_ROWS} rows; export it with write_marts instead"
-        )
-    order = [column.alias(f"_{place}") for place, column in enumerate(_section_order(section))]
-    placed = mart.select(F.struct(*order).alias("place"), F.struct(*mart.columns).alias("row"))
-    in_order = F.sort_array(F.collect_list(F.struct("place", "row")))
-    return placed.agg(F.transform(in_order, lambda item: item["row"]).alias(section))
-
-
-def payload(marts: dict[str, DataFrame]) -> DataFrame:
-    """One row with the overview as a struct and five lists of records."""
-    frames = [plain(marts[view]) for view in VIEWS]
-    parts = [frames[0].select(F.struct(*frames[0].columns).alias("overview"))]
-    parts += [_records(section, frame) for section, frame in zip(SECTIONS[1:], frames[1:], strict=True)]
-    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
-    return rows.agg(*[F.first(section, ignorenulls=True).alias(section) for section in SECTIONS])
-
-
-def payload_json(marts: dict[str, DataFrame], pretty: bool = False) -> DataFrame:
-    """One row, one text column: the payload as a JSON document."""
-    options = {"ignoreNullFields": "false", "pretty": str(pretty).lower()}
-    return payload(marts).select(F.to_json(F.struct(*SECTIONS), options).alias("payload"))
-
-
-def write_payload(marts: dict[str, DataFrame], path: str, pretty: bool = True) -> None:
-    """The payload as a text file in the folder `path`."""
-    payload_json(marts, pretty).coalesce(1).write.mode("overwrite").text(path)
-
-
-def payload_schema(marts: dict[str, DataFrame]) -> T.StructType:
-    """The payload's schema, taken from the marts' columns."""
-    records = {section: plain(marts[view]).schema for section, view in zip(SECTIONS, VIEWS, strict=True)}
-    return T.StructType(
-        [
-            T.StructField(section, row if section == "overview" else T.ArrayType(row))
-            for section, row in records.items()
-        ]
+def _record(frame: DataFrame) -> Column:
+    return F.to_json(F.struct(*frame.columns), {"ignoreNullFields": "false"})
+
+
+def _one_line(spark: SparkSession, text: str) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select(F.lit(text).alias("line"))
+
+
+def payload_lines(marts: dict[str, DataFrame], indent: bool = False) -> DataFrame:
+    """The payload as the lines of a JSON document, one record per line, in order.
+
+    The overview is an object, or {} if there is none; the other sections are lists
+    of records. Each section is sorted by range, so no task holds one, and the
+    partitions follow each other in the order of the document. `indent` sets the
+    records off from the lines that open and close the lists.
+    """
+    frames = {section: plain(marts[view]) for section, view in zip(SECTIONS, VIEWS, strict=True)}
+    overview = frames["overview"]
+    spark = overview.sparkSession
+    only = overview.agg(F.coalesce(F.first(_record(overview)), F.lit("{}")).alias("only"))
+    parts = [only.select(F.concat(F.lit('{"overview":'), "only", F.lit(",")).alias("line"))]
+    for section in SECTIONS[1:]:
+        frame = frames[section]
+        order = _section_order(section)
+        # The first record has no comma before it; the least key is one row.
+        place = F.struct(*[column.alias(f"_{k}") for k, column in enumerate(order)])
+        least = frame.select(place.alias("place")).agg(F.min("place")).scalar()
+        comma = F.when(place.eqNullSafe(least), F.lit(" " * indent)).otherwise(F.lit(","))
+        record = F.concat(F.lit("  " * indent), comma, _record(frame))
+        parts.append(_one_line(spark, f'"{section}":['))
+        parts.append(frame.orderBy(*order).select(record.alias("line")))
+        parts.append(_one_line(spark, "]}" if section == SECTIONS[-1] else "],"))
+    return reduce(DataFrame.union, parts)
+
+
+def write_payload(marts: dict[str, DataFrame], path: str, indent: bool = True) -> None:
+    """The payload as text files in the folder `path`; read in the order of their
+    names they are the document."""
+    payload_lines(marts, indent).write.mode("overwrite").text(path)
+
+
+def read_payload(spark: SparkSession, path: str, scratch: str) -> DataFrame:
+    """The records of a payload: section, position (from 1), record (JSON text).
+
+    The lines are numbered in the order of the files and the places in them, by
+    way of the folder `scratch`. Only the six lines that open a section reach the
+    driver.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    numbered = number_rows(lines, ["file", "block", "row"], "line", scratch)
+    opening = F.regexp_extract("value", r'^\{?"(\w+)":', 1)
+    opens = numbered.filter(F.col("value").rlike(r'^(\{"overview":|"\w+":\[$)'))
+    starts = sorted((row["line"], row["section"]) for row in opens.select("line", opening.alias("section")).collect())
+    section, start = F.lit(None).cast("string"), F.lit(None).cast("int")
+    for line, name in reversed(starts):
+        after = F.col("line") >= line
+        # Later sections were put in first, so they are asked last.
+        section = F.when(after & section.isNull(), F.lit(name)).otherwise(section)
+        start = F.when(after & start.isNull(), F.lit(line)).otherwise(start)
+    of = numbered.select("line", "value", section.alias("section"), start.alias("start"))
+    overview = F.regexp_extract("value", r'^\{"overview":(.*),$', 1)
+    record = F.when(F.col("value").startswith('{"overview":'), F.nullif(overview, F.lit("{}"))).when(
+        F.col("value").rlike(r"^[ ,]*\{"), F.regexp_replace("value", r"^[ ,]+", "")
+    )
+    position = F.when(F.col("section") == "overview", F.lit(1)).otherwise(F.col("line") - F.col("start"))
+    return of.select("section", position.cast("bigint").alias("position"), record.alias("record")).filter(
+        "record IS NOT NULL"
     )
 
 
-def read_payload(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Load a payload back, one row."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def payload_section(records: DataFrame, section: str, schema: T.StructType) -> DataFrame:
+    """position and the columns of one section's records."""
+    own = records.filter(F.col("section") == section)
+    parsed = F.from_json("record", schema, {"mode": "FAILFAST"})
+    return own.select("position", parsed.alias("_record")).select("position", "_record.*")

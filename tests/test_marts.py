@@ -8,7 +8,7 @@ from tickets import DEFAULTS, numbered, star
 
 START = DEFAULTS["created_date"]
 OPEN = {"closed_date": None, "status": "Assigned", "satisfaction_rating": None}
-LATE = {"closed_date": START + timedelta(hours=30)}
+LATE = {"closed_date": START + timedelta(hours=60)}
 
 
 @pytest.fixture(scope="module")
@@ -21,11 +21,11 @@ def city(spark):
         {"division_name": "Waste", "request_category": "Sanitation", "request_type": "Dumping"},
         {"division_name": "Waste", "request_category": "Sanitation", "request_type": "Dumping", **LATE},
         {
-            "department_name": "Parks", "division_name": "Trees", "priority_level": "Low",
+            "department_name": "Parks", "division_name": "Trees", "priority_level": "High",
             "district_code": "DIST-03", "neighborhood": "Hills", "satisfaction_rating": 2,
         },
         {
-            "department_name": "Parks", "division_name": "Trees", "priority_level": "Low",
+            "department_name": "Parks", "division_name": "Trees", "priority_level": "High",
             "district_code": "DIST-03", "neighborhood": "Hills", **OPEN,
             "created_date": datetime(2025, 3, 1),
         },
@@ -41,8 +41,8 @@ def test_overview(city):
         "total_requests": 8,
         "total_closed_requests": 6,
         "current_backlog": 2,
-        "avg_resolution_hours": 13.2,
-        "avg_satisfaction_rating": 4.5,
+        "avg_resolution_hours": 25.8,
+        "avg_satisfaction_rating": 3.67,
         "total_sla_breaches": 2,
         "sla_compliance_pct": 66.67,
         "total_repeat_incidents": 1,
@@ -52,11 +52,11 @@ def test_overview(city):
 
 def test_departments(city):
     found = {row["division_name"]: row for row in marts.department_performance(city).collect()}
-    roads = found["Roads"]
-    assert (roads["total_tickets"], roads["closed_tickets"], roads["open_backlog"]) == (4, 3, 1)
-    assert (roads["sla_compliance_pct"], roads["avg_resolution_hours"]) == (66.67, 16.0)
+    piers = found["Piers"]
+    assert (piers["total_tickets"], piers["closed_tickets"], piers["open_backlog"]) == (4, 3, 1)
+    assert (piers["sla_compliance_pct"], piers["avg_resolution_hours"]) == (66.67, 31.5)
     assert {name: row["workload_rank"] for name, row in found.items()} == {
-        "Roads": 1, "Waste": 2, "Trees": 2,
+        "Piers": 1, "Waste": 2, "Trees": 2,
     }
 
 
@@ -71,25 +71,25 @@ def test_rank_has_no_gap_after_a_tie(spark):
 def test_compliance_over_all_tickets(city):
     found = marts.department_performance(city, "all").collect()
     shares = {row["division_name"]: row["sla_compliance_pct"] for row in found}
-    assert shares == {"Roads": 75.0, "Waste": 50.0, "Trees": 100.0}
+    assert shares == {"Piers": 75.0, "Waste": 50.0, "Trees": 100.0}
     with pytest.raises(ValueError):
         marts.department_performance(city, "open")
 
 
 def test_trends_compare_with_the_last_month_that_has_tickets(city):
     first, second = marts.monthly_trends(city).collect()
-    assert (first["year_month"], first["ticket_volume"]) == ("2025-01", 7)
+    assert (first["year_month"], first["ticket_volume"]) == ("2024-05", 7)
     assert first["prev_month_volume"] is None and first["mom_volume_growth_pct"] is None
     assert (second["year_month"], second["month_name"]) == ("2025-03", "March")
     assert (second["prev_month_volume"], second["mom_volume_growth_pct"]) == (7, -85.71)
-    assert [row["year_month"] for row in marts.monthly_trends(city, 1).collect()] == ["2025-01"]
+    assert [row["year_month"] for row in marts.monthly_trends(city, 1).collect()] == ["2024-05"]
 
 
 def test_geography(city):
     busy, quiet = marts.geographic_distribution(city).collect()
     assert (busy["district_code"], busy["total_requests"], busy["sla_breaches"]) == ("DIST-01", 6, 2)
     assert (busy["region_zone"], busy["repeat_count"]) == ("North Region", 1)
-    assert (quiet["neighborhood"], quiet["district_lat"], quiet["district_lng"]) == ("Hills", 32.6, -85.4)
+    assert (quiet["neighborhood"], quiet["district_lat"], quiet["district_lng"]) == ("Hills", 53.54, 9.98)
 
 
 def test_categories_divide_by_all_tickets(city):
@@ -100,12 +100,12 @@ def test_categories_divide_by_all_tickets(city):
 
 def test_backlog_ages(city):
     found = {
-        row["department_name"]: row for row in marts.backlog_aging(city, date(2025, 1, 8)).collect()
+        row["department_name"]: row for row in marts.backlog_aging(city, date(2024, 5, 13)).collect()
     }
-    works, parks = found["Public Works"], found["Parks"]
+    works, parks = found["Harbour Office"], found["Parks"]
     assert (works["aging_4_to_7_days"], works["max_open_days"]) == (1, 7)
     # Created after the date: a negative age falls in the first class.
-    assert (parks["aging_0_to_3_days"], parks["max_open_days"]) == (1, -52)
+    assert (parks["aging_0_to_3_days"], parks["max_open_days"]) == (1, -292)
 
 
 @pytest.mark.parametrize(
@@ -118,7 +118,7 @@ def test_backlog_ages(city):
 )
 def test_age_class_borders(city, age, column):
     on_day = (START + timedelta(days=age)).date()
-    row = marts.backlog_aging(city, on_day).filter("department_name = 'Public Works'").first()
+    row = marts.backlog_aging(city, on_day).filter("department_name = 'Harbour Office'").first()
     classes = [name for name, _, _ in marts.AGE_CLASSES]
     assert [name for name in classes if row[name]] == [column]
 
@@ -132,7 +132,7 @@ def test_open_ticket_past_its_target_is_backlog_not_breach(spark):
 def test_backlog_by_department_uses_today_by_default(city):
     rows = marts.backlog_aging(city, by=["department_name"]).collect()
     assert {row["department_name"]: row["total_backlog_tickets"] for row in rows} == {
-        "Public Works": 1, "Parks": 1,
+        "Harbour Office": 1, "Parks": 1,
     }
 
 
@@ -185,7 +185,7 @@ def test_filters_apply_to_every_mart(city):
     parks = drilldown.filter_star(city, department="Parks")
     assert marts.operational_overview(parks).first()["total_requests"] == 2
     assert [r["neighborhood"] for r in marts.geographic_distribution(parks).collect()] == ["Hills"]
-    north = drilldown.filter_star(city, district="DIST-01", priority="High", category="Sanitation")
+    north = drilldown.filter_star(city, district="DIST-01", priority="Low", category="Sanitation")
     assert marts.operational_overview(north).first()["total_requests"] == 2
     assert drilldown.filter_star(city).fact is city.fact
     nobody = drilldown.filter_star(city, department="Nobody", priority="Low")
@@ -194,14 +194,14 @@ def test_filters_apply_to_every_mart(city):
 
 def test_mart_filters_and_caption(city):
     departments = marts.department_performance(city)
-    shown = drilldown.filter_departments(departments, "Public Works")
+    shown = drilldown.filter_departments(departments, "Harbour Office")
     assert tuple(drilldown.filter_caption(shown).first()) == (6, "Showing 6 Filtered Incidents")
     nobody = drilldown.filter_departments(departments, "Nobody")
     assert drilldown.filter_caption(nobody).first()["caption"] == "Showing 0 Filtered Incidents"
     categories = marts.category_breakdown(city)
-    assert drilldown.filter_categories(categories, "Infrastructure", "Low").count() == 1
+    assert drilldown.filter_categories(categories, "Moorings", "High").count() == 1
     shares = drilldown.category_share(categories).collect()
-    assert {tuple(row) for row in shares} == {("Infrastructure", 6), ("Sanitation", 2)}
+    assert {tuple(row) for row in shares} == {("Moorings", 6), ("Sanitation", 2)}
 
 
 def test_filter_options_keep_the_marts_order(city):
@@ -212,11 +212,11 @@ def test_filter_options_keep_the_marts_order(city):
     )
     rows = options.orderBy("filter_name", "position").collect()
     assert [(row["filter_name"], row["value"], row["label"]) for row in rows] == [
-        ("category", "Infrastructure", "Infrastructure"),
+        ("category", "Moorings", "Moorings"),
         ("category", "Sanitation", "Sanitation"),
+        ("department", "Harbour Office", "Harbour Office"),
         ("department", "Parks", "Parks"),
-        ("department", "Public Works", "Public Works"),
-        ("district", "DIST-01", "DIST-01 (Downtown)"),
+        ("district", "DIST-01", "DIST-01 (Old Quay)"),
         ("district", "DIST-03", "DIST-03 (Hills)"),
     ]
 
@@ -224,7 +224,7 @@ def test_filter_options_keep_the_marts_order(city):
 def test_headlines(city):
     rows = drilldown.headlines(marts.operational_overview(city)).collect()
     figures = {row["label"]: row["figure"] for row in rows}
-    assert figures["Avg Resolution Time"] == "13.2 hours"
+    assert figures["Avg Resolution Time"] == "25.8 hours"
     assert figures["SLA Compliance Rate"] == "66.67%"
     assert figures["Total Requests Processed"] == "8"
     assert len(rows) == 8

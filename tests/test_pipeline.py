@@ -1,11 +1,14 @@
 import json
+from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from casemart import open_warehouse, run_pipeline, session
+from casemart import open_views, open_warehouse, run_pipeline, session
 from casemart.operators import marts
 from casemart.operators.cleaning import clean
+from casemart.plans import pipeline
 from casemart.plans import warehouse as plans
 from casemart.schema import RAW, RAW_COLUMNS, TABLES
 from casemart.session import work_folder
@@ -15,10 +18,10 @@ from casemart.sources.tickets import read_tickets
 from tickets import ARRIVAL, DEFAULTS, numbered, raw
 
 ROWS = numbered(
-    {"department_name": " Public Works  "},
+    {"department_name": " Harbour Office  "},
     {"closed_date": None, "status": "Assigned", "satisfaction_rating": None},
     {"district_code": None, "neighborhood": None, "zip_code": None, "channel": 'a "b", c'},
-    {"division_name": "Waste", "request_type": ""},
+    {"division_name": "Tugs", "request_type": ""},
 )
 
 
@@ -35,10 +38,14 @@ def run(spark, tmp_path_factory):
 
 def test_run_reports(run):
     assert run.staged_rows == 4
-    assert run.audit_log.filter("status = 'FAILED'").count() == 0
+    assert run.audit_log.filter("status = 'FAILED'").count() == 0 and run.audit_log.count() == 5
+    # The raw tickets repeat a number; cleaning settles that.
+    (failed,) = run.raw_audit.filter("status = 'FAILED'").collect()
+    assert failed["check_name"] == "Uniqueness Check (ticket_number)"
+    assert failed["details"] == "Found 1 duplicate ticket numbers"
     assert run.integrity.filter("violations > 0").count() == 0
-    # Unique keys, mandatory columns, foreign keys, lost tickets, text limits.
-    assert run.integrity.count() == 12 + 40 + 6 + 5 + 26
+    # Unique keys, mandatory columns, foreign keys, lost tickets, text limits, number ranges.
+    assert run.integrity.count() == 12 + 40 + 6 + 5 + 26 + 9
     assert run.headlines.filter("label = 'Total Requests Processed'").first()["figure"] == "4"
 
 
@@ -51,7 +58,7 @@ def test_stored_tables_have_the_declared_types(spark, run):
 
 def test_fact_is_stored_by_month(run):
     fact = run.warehouse.star().fact
-    assert [row["created_month"] for row in fact.select("created_month").distinct().collect()] == [202501]
+    assert [row["created_month"] for row in fact.select("created_month").distinct().collect()] == [202405]
     assert fact.select("fact_id").distinct().count() == 4
 
 
@@ -92,40 +99,93 @@ def test_unpublished_root(spark, tmp_path):
         open_warehouse(spark, str(tmp_path))
 
 
+def document(folder):
+    """The payload as JSON: its files in the order of their names."""
+    parts = sorted(path for path in Path(folder).glob("part-*"))
+    return "".join(path.read_text() for path in parts)
+
+
 def test_export_files(spark, run):
     lines = spark.read.text(run.warehouse.path("export/vw_kpi_monthly_trends")).collect()
     (record,) = [json.loads(line[0]) for line in lines]
-    assert record["prev_month_volume"] is None and record["year_month"] == "2025-01"
-    pages = spark.read.text(run.warehouse.path("export/kpi_payload"), wholetext=True).collect()
-    document = json.loads(pages[0][0])
-    assert list(document) == exports.SECTIONS
-    assert document["overview"]["total_requests"] == 4
-    assert document["monthly_trends"][0]["mom_volume_growth_pct"] is None
-    assert pages[0][0].count("\n") > 20
+    assert record["prev_month_volume"] is None and record["year_month"] == "2024-05"
+    text = document(run.warehouse.path("export/kpi_payload"))
+    found = json.loads(text)
+    assert list(found) == exports.SECTIONS
+    assert found["overview"]["total_requests"] == 4
+    assert found["monthly_trends"][0]["mom_volume_growth_pct"] is None
+    counts = [row["request_count"] for row in found["categories"]]
+    assert counts == sorted(counts, reverse=True)
+    assert [row["division_name"] for row in found["departments"]] == ["Piers", "Tugs"]
+    assert len(text.splitlines()) == 11 + sum(len(found[s]) for s in exports.SECTIONS[1:])
 
 
 def test_payload_comes_back_equal(spark, run, tmp_path):
-    path = str(tmp_path / "payload")
-    exports.write_payload(run.marts, path)
-    document = exports.read_payload(spark, path, exports.payload_schema(run.marts))
-    for section, view in zip(exports.SECTIONS, marts.VIEWS, strict=True):
-        rows = f"{section}.*" if section == "overview" else F.inline(section)
-        found = document.select(rows)
-        assert found.columns == run.marts[view].columns
-        assert sorted(map(str, found.collect())) == sorted(map(str, run.marts[view].collect()))
-
-
-def test_payload_lists_are_in_order(run):
-    document = exports.payload(run.marts).first()
-    counts = [row["request_count"] for row in document["categories"]]
-    assert counts == sorted(counts, reverse=True)
-    assert [row["division_name"] for row in document["departments"]] == ["Roads", "Waste"]
+    for indent in [True, False]:
+        path = str(tmp_path / f"payload{indent}")
+        exports.write_payload(run.marts, path, indent)
+        records = exports.read_payload(spark, path, str(tmp_path / f"lines{indent}"))
+        for section, view in zip(exports.SECTIONS, marts.VIEWS, strict=True):
+            schema = exports.plain(run.marts[view]).schema
+            found = exports.payload_section(records, section, schema)
+            assert found.columns == ["position", *run.marts[view].columns]
+            assert sorted(map(str, found.drop("position").collect())) == sorted(
+                map(str, exports.plain(run.marts[view]).collect())
+            )
+            places = sorted(row["position"] for row in found.collect())
+            assert places == list(range(1, len(places) + 1))
+
+
+def test_large_marts_are_exported_in_order(spark, run, tmp_path):
+    category = marts.VIEWS[4]
+    few = run.marts[category]
+    many = few.limit(1).crossJoin(spark.range(0, 250_000, 1, 7).withColumnRenamed("id", "n"))
+    many = many.withColumns({"request_count": F.col("n") * 7919 % 1000, "request_type_name": F.col("n").cast("string")})
+    path = str(tmp_path / "large")
+    exports.write_payload({**run.marts, category: many.select(*few.columns)}, path)
+    found = json.loads(document(path))["categories"]
+    assert len(found) == 250_000
+    keys = [(-row["request_count"], row["request_category"], row["request_type_name"]) for row in found]
+    assert keys == sorted(keys)
+
+
+def test_empty_marts_are_exported(run, tmp_path):
+    path = str(tmp_path / "empty")
+    exports.write_payload({view: frame.limit(0) for view, frame in run.marts.items()}, path)
+    found = json.loads(document(path))
+    assert found == {"overview": {}, **{section: [] for section in exports.SECTIONS[1:]}}
+
+
+def test_failed_export_leaves_the_run_published(spark, tmp_path, monkeypatch):
+    def fail(*_, **__):
+        raise RuntimeError("disk full")
+
+    monkeypatch.setattr(pipeline, "write_payload", fail)
+    with pytest.raises(RuntimeError, match="disk full"):
+        run_pipeline(spark, raw(spark, *ROWS), str(tmp_path), "2025-02-01", arrival=ARRIVAL)
+    assert open_warehouse(spark, str(tmp_path)).star().fact.count() == 4
+
+
+def test_export_keeps_all_months_unless_told(spark, tmp_path):
+    rows = numbered(*[{"created_date": datetime(2023 + n // 12, n % 12 + 1, 3), "closed_date": None} for n in range(14)])
+    for months, shown in [(None, 14), (12, 12)]:
+        root = str(tmp_path / str(months))
+        run = run_pipeline(spark, raw(spark, *rows), root, "2025-02-01", arrival=ARRIVAL, months=months)
+        assert len(json.loads(document(run.warehouse.path("export/kpi_payload")))["monthly_trends"]) == shown
+
+
+def test_version_published_last_is_current(spark, tmp_path):
+    root = str(tmp_path)
+    first, second = plans.new_version(spark, root), plans.new_version(spark, root)
+    plans.publish(second)
+    plans.publish(first)
+    assert open_warehouse(spark, root).version == first.version
 
 
-def test_payload_refuses_what_one_task_should_not_hold(run, monkeypatch):
-    monkeypatch.setattr(exports, "PAYLOAD_ROWS", 1)
-    with pytest.raises(ValueError, match="write_marts"):
-        exports.payload(run.marts)
+def test_views_of_a_published_warehouse(spark, run):
+    spark.catalog.dropTempView("vw_kpi_operational_overview")
+    open_views(spark, run.warehouse.root, "2025-02-01")
+    assert spark.table("vw_kpi_operational_overview").first()["total_requests"] == 4
 
 
 def test_plain_types(spark):
@@ -149,6 +209,41 @@ def test_ticket_files_come_back_equal(spark, tmp_path, fmt):
     assert sorted(map(str, found.select(*RAW_COLUMNS).collect())) == sorted(map(str, tickets.collect()))
 
 
+def test_line_breaks_in_text_come_back(spark, tmp_path):
+    texts = ["a\nb", "c\r\nd", "e\\nf", "\\", 'g "h"\n', "\\\\n\\r\r"]
+    tickets = raw(spark, *numbered(*[{"channel": text} for text in texts])).select(*RAW_COLUMNS)
+    exports.write_tickets(tickets, str(tmp_path / "escaped"))
+    found = read_tickets(spark, str(tmp_path / "escaped"), "csv", escaped=True)
+    assert sorted(map(str, found.select(*RAW_COLUMNS).collect())) == sorted(map(str, tickets.collect()))
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    pandas = pytest.importorskip("pandas")
+    rows = [{**DEFAULTS, "ticket_number": f"SR-{n}", "channel": f"W\nX{n}"} for n in range(2)]
+    frame = pandas.DataFrame([dict(zip(RAW_COLUMNS, row.values(), strict=True)) for row in rows])
+    frame.to_csv(tmp_path / "tickets.csv", index=False)
+    found = read_tickets(spark, str(tmp_path), "csv", multiLine=True)
+    assert sorted(row["channel"] for row in found.select("channel").collect()) == ["W\nX0", "W\nX1"]
+    # Without multiLine the read fails, also when only whole cells are asked for.
+    for columns in [RAW_COLUMNS, ["ticket_number", "status"]]:
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read_tickets(spark, str(tmp_path), "csv").select(*columns).collect()
+
+
+def test_fractional_ratings_are_refused(spark, tmp_path):
+    exports.write_tickets(raw(spark, {}), str(tmp_path / "good"))
+    header, *lines = [row[0] for row in spark.read.text(str(tmp_path / "good")).collect()]
+    (line,) = set(lines) - {header}
+    for rating in ["4.0", "4.7"]:
+        path = tmp_path / f"{rating}.csv"
+        path.write_text(header + "\n" + line.replace(",4,", f",{rating},") + "\n")
+    assert read_tickets(spark, str(tmp_path / "4.0.csv"), "csv").first()["satisfaction_rating"] == 4
+    with pytest.raises(Exception, match="malformed satisfaction_rating"):
+        read_tickets(spark, str(tmp_path / "4.7.csv"), "csv").collect()
+    lenient = read_tickets(spark, str(tmp_path / "4.7.csv"), "csv", mode="PERMISSIVE")
+    assert lenient.first()["satisfaction_rating"] is None
+
+
 def test_csv_from_pandas(spark, tmp_path):
     pandas = pytest.importorskip("pandas")
     rows = [dict(zip(RAW_COLUMNS, {**DEFAULTS, **row}.values(), strict=True)) for row in ROWS]
@@ -157,7 +252,7 @@ def test_csv_from_pandas(spark, tmp_path):
         frame[name] = [row[name] and row[name].strftime("%Y-%m-%d %H:%M:%S") for row in rows]
     frame[RAW_COLUMNS].to_csv(tmp_path / "tickets.csv", index=False)
     text = (tmp_path / "tickets.csv").read_text()
-    assert ",5.0," in text and '"a ""b"", c"' in text and ",False," in text
+    assert ",4.0," in text and '"a ""b"", c"' in text and ",False," in text
     found = read_tickets(spark, str(tmp_path), "csv").select(*RAW_COLUMNS)
     expected = raw(spark, *ROWS).select(*RAW_COLUMNS)
     expected = expected.withColumn("request_type", F.nullif("request_type", F.lit("")))
@@ -169,7 +264,7 @@ def test_bad_input_stops_the_read(spark, tmp_path):
     page = spark.read.text(str(tmp_path / "good")).collect()
     lines = [row[0] for row in page]
     moved = lines[0].replace("ticket_number,created_date", "created_date,ticket_number")
-    wrong = lines[1].replace("2025-01-01 10:00:00", "yesterday")
+    wrong = lines[1].replace("2024-05-06 08:30:00", "yesterday")
     for name, text in [("header", [moved, *lines[1:]]), ("value", [lines[0], wrong])]:
         path = tmp_path / f"{name}.csv"
         path.write_text("\n".join(text) + "\n")
@@ -214,21 +309,26 @@ def test_pipeline_of_nothing(spark, tmp_path):
     assert run.marts[marts.VIEWS[0]].first()["total_requests"] == 0
 
 
-def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
-    exports.write_tickets(raw(spark, *ROWS), str(tmp_path / "in"))
+def test_shuffles_grow_with_the_input(spark, tmp_path):
+    path = str(tmp_path / "in")
+    exports.write_tickets(raw(spark, *ROWS), path)
+    tickets = read_tickets(spark, path, "csv")
     setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    with session.sized_shuffles(spark, str(tmp_path)) as number:
+    with session.sized_shuffles(tickets) as number:
         assert number == 8
-    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 10)
-    with session.sized_shuffles(spark, str(tmp_path)) as number:
-        assert 50 < number < 500 and spark.conf.get(setting) == str(number)
-        with session.sized_shuffles(spark, str(tmp_path)):
+    joined = tickets.join(read_tickets(spark, path, "csv").select("ticket_number"), "ticket_number")
+    with session.sized_shuffles(joined, bytes_per_partition=10) as number:
+        size = sum(p.stat().st_size for p in Path(path).glob("part-*"))
+        assert number == -(-2 * size // 10) and spark.conf.get(setting) == str(number)
+        with session.sized_shuffles(tickets):
             assert spark.conf.get(setting) == str(number)
         assert spark.conf.get(setting) == str(number)
     assert spark.conf.get(setting, None) is None
-    monkeypatch.setattr(session, "MOST_PARTITIONS", 20)
-    with session.sized_shuffles(spark, str(tmp_path)) as number:
+    with session.sized_shuffles(tickets, bytes_per_partition=10, most_partitions=20) as number:
         assert number == 20
+    # Rows that the program made have no known size.
+    with session.sized_shuffles(raw(spark, *ROWS), bytes_per_partition=1) as number:
+        assert number == 8
 
 
 def test_work_folder_is_the_one_the_session_names(spark):
@@ -244,7 +344,10 @@ def test_command_line(spark, tmp_path, capsys):
     main([str(tmp_path / "in"), house, "--format", "csv", "--as-of", "2025-02-01", "--keep-unmatched"])
     lines = capsys.readouterr().out.splitlines()
     assert lines[0] == "4 tickets staged"
-    assert "[PASSED] Null Check: ticket_number: Found 0 nulls out of 4 rows" in lines
-    assert "[FAILED] lost tickets: 1 violations" in lines
+    assert "[PASSED] staged, Null Check: ticket_number: Found 0 nulls out of 4 rows" in lines
+    assert "[PASSED] raw, Null Check: ticket_number: Found 0 nulls out of 4 rows" in lines
+    # The ticket without a division is kept, so it is not lost.
+    assert "[FAILED] no department_key: 1 violations" in lines
+    assert not any("lost tickets" in line for line in lines)
     assert "Total Requests Processed: 4" in lines
     assert open_warehouse(spark, house).star().fact.count() == 4

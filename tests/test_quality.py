@@ -16,12 +16,12 @@ def details(log):
 
 
 def test_cleaning_fills_and_strips(spark):
-    row = {"department_name": " Public Works  ", **MISSING_PLACE}
+    row = {"department_name": " Harbour Office  ", **MISSING_PLACE}
     cleaned = cleaning.clean(raw(spark, row), ARRIVAL).first()
     assert cleaned["district_code"] == "DIST-UNKNOWN"
     assert cleaned["neighborhood"] == "Unknown Neighborhood"
     assert cleaned["zip_code"] == "00000"
-    assert cleaned["department_name"] == "Public Works"
+    assert cleaned["department_name"] == "Harbour Office"
 
 
 def test_cleaning_keeps_columns(spark):
@@ -71,7 +71,7 @@ def test_time_order_counts_only_early_closes(spark):
     moment = DEFAULTS["created_date"]
     rows = numbered(
         {"closed_date": moment},
-        {"closed_date": datetime(2024, 12, 31)},
+        {"closed_date": datetime(2024, 5, 5)},
         {"created_date": None},
         {"closed_date": None},
     )

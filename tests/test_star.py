@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from casemart.operators import dimensions, integrity
 from casemart.operators.fact import FACT_COLUMNS
-from tickets import DEFAULTS, numbered, raw, star
+from tickets import DEFAULTS, keyed, numbered, raw, star
 
 START = DEFAULTS["created_date"]
 
@@ -54,16 +55,16 @@ def test_no_tickets_no_calendar(spark):
 
 def test_location_has_one_row_per_neighborhood(spark):
     rows = numbered(
-        {"zip_code": "36831", "latitude": Decimal("32.600001")},
-        {"zip_code": "36830", "latitude": Decimal("32.600002")},
+        {"zip_code": "20459", "latitude": Decimal("53.540001")},
+        {"zip_code": "20457", "latitude": Decimal("53.540002")},
         {"district_code": "DIST-03", "neighborhood": "Hills"},
     )
     staging = raw(spark, *rows)
-    found = dimensions.dim_location(staging).orderBy("location_key").collect()
+    found = keyed("dim_location", dimensions.dim_location(staging)).orderBy("location_key").collect()
     assert [(row["location_key"], row["district_code"]) for row in found] == [
         (1, "DIST-01"), (2, "DIST-03"),
     ]
-    assert found[0]["zip_code"] == "36830" and found[0]["latitude"] == Decimal("32.600002")
+    assert found[0]["zip_code"] == "20457" and found[0]["latitude"] == Decimal("53.540002")
     assert [row["region_zone"] for row in found] == ["North Region", "South Region"]
     assert integrity.location_conflicts(staging).collect()[0]["zip_codes"] == 2
     assert star(spark, *rows).fact.count() == 3
@@ -81,15 +82,15 @@ def test_request_type_and_department(spark):
     rows = numbered({"target_sla_hours": Decimal("24.00")}, {"target_sla_hours": Decimal("24.01")})
     found = star(spark, *rows)
     assert found.request_types.first()["default_sla_hours"] == Decimal("24.01")
-    assert tuple(found.departments.first()) == (1, "Public Works", "Roads", "Dept Director", 30)
+    assert tuple(found.departments.first()) == (1, "Harbour Office", "Piers", "Dept Director", 30)
 
 
-def test_numbers_run_on_across_partitions(spark):
+def test_numbers_run_on_across_partitions(spark, tmp_path):
     rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v")).repartition(7)
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        numbered_rows = dimensions.number_rows(rows, ["v"], "k").collect()
+        numbered_rows = dimensions.number_rows(rows, ["v"], "k", str(tmp_path / "sorted")).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert sorted((row["v"], row["k"]) for row in numbered_rows) == [(v, v + 1) for v in range(1000)]
@@ -103,21 +104,21 @@ def fact_of(spark, *rows, how="inner"):
 
 def test_measures_of_a_closed_ticket(spark):
     (row,) = fact_of(spark, {})
-    assert (row["created_date_key"], row["closed_date_key"]) == (20250101, 20250101)
-    assert row["resolution_time_hours"] == Decimal("2.00")
-    assert row["sla_variance_hours"] == Decimal("-22.00")
+    assert (row["created_date_key"], row["closed_date_key"]) == (20240506, 20240506)
+    assert row["resolution_time_hours"] == Decimal("3.00")
+    assert row["sla_variance_hours"] == Decimal("-45.00")
     assert row["is_sla_breached"] is False
 
 
 def test_breach_is_decided_before_rounding(spark):
     rows = numbered(
-        {"closed_date": START + timedelta(hours=24)},
-        {"closed_date": START + timedelta(hours=24, seconds=14)},
-        {"closed_date": START + timedelta(hours=24, microseconds=1)},
+        {"closed_date": START + timedelta(hours=48)},
+        {"closed_date": START + timedelta(hours=48, seconds=14)},
+        {"closed_date": START + timedelta(hours=48, microseconds=1)},
     )
     found = fact_of(spark, *rows)
     assert [row["is_sla_breached"] for row in found] == [False, True, True]
-    assert [str(row["resolution_time_hours"]) for row in found] == ["24.00", "24.00", "24.00"]
+    assert [str(row["resolution_time_hours"]) for row in found] == ["48.00", "48.00", "48.00"]
 
 
 def test_open_ticket_has_no_measures(spark):
@@ -130,7 +131,7 @@ def test_open_ticket_has_no_measures(spark):
 def test_negative_durations_reach_the_fact(spark):
     (row,) = fact_of(spark, {"closed_date": START - timedelta(hours=1, seconds=18)})
     assert row["resolution_time_hours"] == Decimal("-1.01")
-    assert row["sla_variance_hours"] == Decimal("-25.01")
+    assert row["sla_variance_hours"] == Decimal("-49.01")
 
 
 def test_unmatched_tickets(spark):
@@ -147,6 +148,23 @@ def test_unmatched_tickets(spark):
         "no status_key": 1,
         "lost tickets": 2,
     }
+    kept = star(spark, *rows, how="left")
+    lost = integrity.check_lost_tickets(raw(spark, *rows), kept)
+    assert {row["rule"]: row["violations"] for row in lost.collect()}["lost tickets"] == 0
+
+
+def test_lost_tickets_are_found_in_the_fact(spark):
+    rows = [*numbered({}, {}, {}), {"ticket_number": None}]
+    found = star(spark, *rows)
+    holed = replace(found, fact=found.fact.filter("coalesce(ticket_number, '') <> 'SR-2'"))
+
+    def lost(tables):
+        checks = integrity.check_lost_tickets(raw(spark, *rows), tables).collect()
+        return {row["rule"]: row["violations"] for row in checks}["lost tickets"]
+
+    assert (lost(found), lost(holed)) == (0, 1)
+    without_null = replace(found, fact=found.fact.filter("ticket_number IS NOT NULL"))
+    assert lost(without_null) == 1
 
 
 def test_constraints_hold_on_a_good_star(spark):
@@ -182,6 +200,14 @@ def test_orphans_are_counted_by_fact_row(spark):
     assert rules["location_key -> dim_location"] == 0
 
 
+def test_number_ranges(spark):
+    wide = spark.sql("SELECT 99999999.99 AS target_sla_hours, -10000.0 AS latitude, NULL AS longitude")
+    found = integrity.check_number_ranges({"staging": wide}).collect()
+    assert {row["rule"]: row["violations"] for row in found} == {
+        "staging.target_sla_hours": 0, "staging.latitude": 1, "staging.longitude": 0,
+    }
+
+
 def test_text_limits(spark):
     rows = numbered({"priority_level": "x" * 20}, {"priority_level": "x" * 21})
     limits = integrity.check_text_limits({"staging": raw(spark, *rows)})
