@@ -24,7 +24,7 @@ def tables(spark, tmp_path_factory):
     rows += [(100, prose(0, 80, 5000)), (101, prose(1, 80, 5000).replace(" ", "  ")), (102, prose(40, 80, 5000) + " " + item)]
     rows += [(103, prose(41, 80, 5000) + " token = abcdefghijklmnop"), (104, prose(42, 80, 5000).replace(" ", " ### ")), (105, "short")]
     rows += [(200 + k, prose(300 + k, 80, 5000).replace(" ", " ### ")) for k in range(30)] + EDGES
-    clashing(spark, rows).withColumn("lang", clashing(spark, rows)["kind"]).write.parquet(f"{folder}/documents.parquet")
+    clashing(spark, rows).withColumnRenamed("kept", "lang").write.parquet(f"{folder}/documents.parquet")
     labels = [(k, 1) for k in range(30)] + [(200 + k, 0) for k in range(30)]
     spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
     frame(spark, [(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
