@@ -9,7 +9,8 @@
 5. After `rounds` exchanges the last packing stands.
 
 A group has about `group_pieces` pieces at any size of the input, since whole numbers of groups are made for counted pieces and
-the hash includes the document. Nothing but a count per round reaches the driver. Each round's packing is written to the
+the hash includes a number of each piece's own, written with the pieces: rows repeated under one id, or without an id, are spread
+like others. Nothing but a count per round reaches the driver. Each round's packing is written to the
 shared folder.
 
 Null and empty texts are one piece of one token, the closing id. Repeated rows are packed each. A null doc_id is kept.
@@ -35,7 +36,7 @@ ROUNDS = 3
 END_ID = 0
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLACED = f"{PIECE}, sequence_id long, offset long, full boolean, certified boolean"
+PLACED = f"{PIECE}, _number long, sequence_id long, offset long, full boolean, certified boolean"
 
 
 def cut_pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -124,13 +125,14 @@ def _pack(pieces: DataFrame, size: int, group_pieces: int, turn: int) -> DataFra
         out["certified"] = len(used) == lower_bound(lengths, size)
         return out
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "length", F.lit(turn)), F.lit(groups)))
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("_number", F.lit(turn)), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(pack, PLACED)
 
 
 def pack_pieces(pieces: DataFrame, size: int = SIZE, group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
     """Pieces with sequence_id and offset. Each of at most `size` tokens; see the module."""
-    pieces = stored(pieces, "pieces")
+    columns = [*pieces.columns, "sequence_id", "offset"]
+    pieces = stored(pieces.withColumn("_number", F.monotonically_increasing_id()), "pieces")
     full = pieces.filter(F.col("length") >= size).withColumns(
         {"sequence_id": -F.monotonically_increasing_id() - 1, "offset": F.lit(0).cast("long")}
     )
@@ -144,7 +146,6 @@ def pack_pieces(pieces: DataFrame, size: int = SIZE, group_pieces: int = GROUP_P
         rest = placed.filter("NOT (full OR certified)").drop("sequence_id", "offset", "full", "certified")
         if rest.isEmpty():
             break
-    columns = [*pieces.columns, "sequence_id", "offset"]
     out = done[0].select(columns)
     for part in done[1:]:
         out = out.union(part.select(columns))

@@ -119,3 +119,11 @@ def test_packing_is_gapless_and_tight(spark):
 def test_token_ids_come_along(spark):
     rows = packing.cut_pieces(frame(spark, [(1, "a b c d e f")]), PATHS[True], 4, with_ids=True).collect()
     assert [zlib.crc32(np.array(r["ids"], "<u4").tobytes()) for r in rows] == [r["ids_crc32"] for r in rows]
+
+
+def test_rows_of_one_id_are_dealt_to_all_groups(spark):
+    pieces = spark.range(2000).selectExpr("CAST(NULL AS long) AS doc_id", "0 AS piece", "0L AS start", "3L AS length", "0L AS ids_crc32")
+    found = packing.pack_pieces(pieces, 10, 100, 0).groupBy("sequence_id").count().collect()
+    assert sum(r["count"] for r in found) == 2000
+    groups = {r["sequence_id"] >> 24 for r in found}
+    assert len(groups) == 20
