@@ -32,7 +32,8 @@ from casemart.llm.common import shared_folder, stored
 
 FILE_BYTES = 64 << 20
 PARTITION_BYTES = 64 << 20
-LISTING = "_files.json"
+#: Each commit writes a listing of its own, `_files-<hex>.json`; readers take the files of all.
+LISTING = "_files"
 SCHEMA = (
     "record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes long, "
     "headers map<string,string>, payload binary"
@@ -137,12 +138,14 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         fs, path = _place(self.path)
-        listing = fs.get_file_info(f"{path}/{LISTING}")
-        if listing.type == pafs.FileType.File:
-            with fs.open_input_stream(f"{path}/{LISTING}") as f:
-                infos = fs.get_file_info([f"{path}/{name}" for name in json.loads(f.read())])
-        elif fs.get_file_info(path).type == pafs.FileType.File:
+        if fs.get_file_info(path).type == pafs.FileType.File:
             infos = [fs.get_file_info(path)]
+        elif listings := _listings(fs, path):
+            names = []
+            for listing in listings:
+                with fs.open_input_stream(listing) as f:
+                    names += json.loads(f.read())
+            infos = fs.get_file_info([f"{path}/{name}" for name in names])
         else:
             infos = [i for i in fs.get_file_info(pafs.FileSelector(path, recursive=True)) if i.path.endswith((".warc", ".warc.gz"))]
         out, held = [], 0
@@ -189,9 +192,15 @@ class WarcReader(DataSourceReader):
         return tuple(row[c] for c in self.columns)
 
 
+def _listings(fs: pafs.FileSystem, path: str) -> list[str]:
+    """The listings of all commits to a folder."""
+    infos = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+    return [i.path for i in infos if i.base_name.startswith(LISTING) and i.base_name.endswith(".json")]
+
+
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, file_bytes: int, gz: bool):
-        self.path, self.file_bytes, self.gz = path, file_bytes, gz
+    def __init__(self, path: str, file_bytes: int, gz: bool, overwrite: bool = False):
+        self.path, self.file_bytes, self.gz, self.overwrite = path, file_bytes, gz, overwrite
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         fs, path = _place(self.path)
@@ -216,8 +225,11 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         fs, path = _place(self.path)
         fs.create_dir(path, recursive=True)
-        with fs.open_output_stream(f"{path}/{LISTING}") as f:
+        before = _listings(fs, path) if self.overwrite else []
+        with fs.open_output_stream(f"{path}/{LISTING}-{uuid.uuid4().hex}.json") as f:
             f.write(json.dumps([name for m in messages if m for name in m.paths]).encode())
+        for listing in before:
+            fs.delete_file(listing)
 
     def abort(self, messages: list[Written | None]) -> None:
         """Files of a failed write stay unlisted: no reader opens them."""
@@ -235,7 +247,7 @@ class WarcDataSource(DataSource):
         return WarcReader(self.options["path"], schema.fieldNames(), int(self.options.get("partitionBytes", PARTITION_BYTES)))
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"], int(self.options.get("fileBytes", FILE_BYTES)), self.options.get("compression") == "gzip")
+        return WarcWriter(self.options["path"], int(self.options.get("fileBytes", FILE_BYTES)), self.options.get("compression") == "gzip", overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -284,22 +296,23 @@ def read_records(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFr
 def archived_pages(pages: DataFrame) -> DataFrame:
     """Pages written to archives in the shared folder and read back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    Length and digest of a response are those of the payload that was read; a revisit's come from its headers.
+    Length and digest of a response are those of the payload that was read; a revisit's come from its headers. Both reads push their
+    record type down, and that of revisits asks for no payload.
     """
     spark = pages.sparkSession
     path = shared_folder(spark, "warc")
     write_pages(pages, path)
-    columns = "record_id string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary"
+    heads = "record_id string, record_type string, refers_to string"
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def number(column: str):
         return F.nullif(F.substring_index(column, ":", -1), F.lit("")).cast(kind)
 
-    stored_whole = F.col("record_type") == "response"
-    return read_records(spark, path, columns).select(
-        number("record_id").alias("page_id"),
-        F.when(stored_whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(stored_whole, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        number("refers_to").alias("refers_to"),
-    )
+    def records(record_type: str, columns: str, size, digest) -> DataFrame:
+        found = read_records(spark, path, f"{heads}, {columns}").filter(F.col("record_type") == record_type)
+        return found.select(
+            number("record_id").alias("page_id"), size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", number("refers_to").alias("refers_to")
+        )
+
+    whole = records("response", "payload binary", F.octet_length("payload").cast("long"), F.sha1("payload"))
+    return whole.union(records("revisit", "payload_digest string, payload_bytes long", F.col("payload_bytes"), F.col("payload_digest")))

@@ -98,3 +98,18 @@ def test_partitions_are_planned_by_bytes(tmp_path):
         (tmp_path / f"{k}.warc").write_bytes(b"x" * size)
     reader = warc.WarcReader(str(tmp_path), [], 100)
     assert sorted(len(p.paths) for p in reader.partitions()) == [1, 2, 2]
+
+
+def test_a_second_append_keeps_the_first(spark, tmp_path):
+    path = str(tmp_path / "two")
+    for rows in (ROWS[:2], ROWS[4:7]):
+        warc.write_pages(frame(spark, rows, DDL), path)
+    assert warc.read_records(spark, path).count() == 5
+    warc.page_records(frame(spark, ROWS[:2], DDL)).write.format("warc").mode("overwrite").save(path)
+    assert warc.read_records(spark, path).count() == 2
+
+
+def test_the_query_reads_revisits_without_payloads(spark):
+    plan = warc.archived_pages(frame(spark, ROWS, DDL))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "BatchScan" in line]
+    assert len(scans) == 2 and sum("payload#" in line for line in scans) == 1 and "Filter (" not in plan
