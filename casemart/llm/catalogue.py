@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemart.llm import decontamination, jaccard_join, language_id, packing, passage_dedup, pii, quality, secret_scan, token_counts, warc
+from casemart.llm import decontamination, filter_audit, jaccard_join, language_id, line_dedup, packing, passage_dedup, pii, prefix_trie, quality, secret_scan, token_counts, warc
 from casemart.llm.common import table
 from casemart.llm.token_counts import tokenizer_path
 
@@ -57,6 +57,18 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     every = [
         op1_passage_dedup,
@@ -69,5 +81,8 @@ def all_queries() -> dict[str, Query]:
         op8_quality_rules,
         op9_pii,
         op10_secret_scans,
+        op11_prefix_trie,
+        op12_filter_audit,
+        op13_line_dedup,
     ]
     return {query.__name__: query for query in every}

@@ -52,5 +52,5 @@ def test_stages_take_effect(spark, tables):
 
 def test_queries_are_registered():
     names = list(catalogue.all_queries())
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(oracle.oracle_queries()) <= set(names)
