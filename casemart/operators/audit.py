@@ -28,9 +28,9 @@ def _log_row(check: str, bad: Column, details: Column) -> Column:
     )
 
 
-def _missing(tickets: DataFrame, name: str) -> Column:
+def _missing(schema: T.StructType, name: str) -> Column:
     column = F.col(name)
-    if isinstance(tickets.schema[name].dataType, (T.FloatType, T.DoubleType)):
+    if isinstance(schema[name].dataType, (T.FloatType, T.DoubleType)):
         return column.isNull() | F.isnan(column)
     return column.isNull()
 
@@ -39,23 +39,29 @@ def _unpivot(counts: DataFrame, rows: list[Column]) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def _row_checks(tickets: DataFrame, columns: Sequence[str], with_time: bool) -> DataFrame:
-    present = [name for name in columns if name in tickets.columns]
+def row_counts(schema: T.StructType, columns: Sequence[str] = tuple(MANDATORY), with_time: bool = True) -> list[Column]:
+    """What the null and time checks count: aggregates for `agg`, or for `observe` in a pass that writes the tickets."""
     counts = [F.count(F.lit(1)).alias("_rows")]
-    counts += [F.count_if(_missing(tickets, name)).alias(f"_null_{name}") for name in present]
-    rows = [
-        _log_row(
-            NULL_CHECK.format(column=name),
-            F.col(f"_null_{name}"),
-            F.format_string(NULL_DETAILS, F.col(f"_null_{name}"), F.col("_rows")),
-        )
-        for name in present
-    ]
+    counts += [F.count_if(_missing(schema, name)).alias(f"_null_{name}") for name in columns if name in schema.names]
     if with_time:
-        early = F.col("closed_date") < F.col("created_date")
-        counts.append(F.count_if(early).alias("_early"))
-        rows.append(_log_row(TIME_CHECK, F.col("_early"), F.format_string(TIME_DETAILS, F.col("_early"))))
-    return _unpivot(tickets.agg(*counts), rows)
+        counts.append(F.count_if(F.col("closed_date") < F.col("created_date")).alias("_early"))
+    return counts
+
+
+def row_log(counts: DataFrame) -> DataFrame:
+    """The log rows of one row of `row_counts`."""
+    rows = []
+    for name in counts.columns:
+        if name.startswith("_null_"):
+            check = NULL_CHECK.format(column=name.removeprefix("_null_"))
+            rows.append(_log_row(check, F.col(name), F.format_string(NULL_DETAILS, F.col(name), F.col("_rows"))))
+        elif name == "_early":
+            rows.append(_log_row(TIME_CHECK, F.col(name), F.format_string(TIME_DETAILS, F.col(name))))
+    return _unpivot(counts, rows)
+
+
+def _row_checks(tickets: DataFrame, columns: Sequence[str], with_time: bool) -> DataFrame:
+    return row_log(tickets.agg(*row_counts(tickets.schema, columns, with_time)))
 
 
 def check_nulls(tickets: DataFrame, columns: Sequence[str] = tuple(MANDATORY)) -> DataFrame:

@@ -53,7 +53,7 @@ def filter_star(
         condition = _wanted(choices)
         if condition is not None:
             fact = keep_keys(fact, dimension.filter(condition).select(key), key)
-    return replace(star, fact=fact)
+    return replace(star, fact=fact, sums=star.sums if fact is star.fact else None)
 
 
 def filter_departments(departments: DataFrame, department: str | None = None) -> DataFrame:

@@ -5,7 +5,8 @@ the dimensions. The pass over the fact is a narrow column scan and a partial
 hash aggregate with no join in it; what is shuffled and joined is one row per
 key combination, and a key that holds a third of the fact arrives as one row per
 map task. The measures are sums and counts, so they can be added up again by
-name after the join.
+name after the join. A star whose sums are stored is not scanned at all: the
+marts read the rows of their grain, which one scan wrote for all of them.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemart.functions.calendar import as_date
-from casemart.functions.numeric import part_sums, percentage, ratio, total, whole_sum
+from casemart.functions.numeric import percentage, ratio, total, whole_sum
+from casemart.operators.rollup import GRAIN_KEYS, GRAINS, tally
 from casemart.operators.star import Star, keep_keys
 
 # The view names and the age classes of the backlog, in days.
@@ -38,19 +40,12 @@ AGE_CLASSES = [
 TRENDS_SHOWN = 12
 
 
-def tally(fact: DataFrame, *keys: str) -> DataFrame:
-    """Additive measures per key; Spark drops the ones a mart does not use."""
-    return fact.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("is_sla_breached").alias("breaches"),
-        F.count_if("is_repeat_incident").alias("repeats"),
-        *part_sums("resolution_time_hours", "hours"),
-        F.count("resolution_time_hours").alias("n_hours"),
-        *part_sums("target_sla_hours", "targets"),
-        F.count("target_sla_hours").alias("n_targets"),
-        F.sum("satisfaction_rating").alias("ratings"),
-        F.count("satisfaction_rating").alias("n_ratings"),
-    )
+def _tally(star: Star, grain: str) -> DataFrame:
+    """The measures per key of a grain: as stored, or else from the fact."""
+    keys = GRAINS[grain]
+    if star.sums is None:
+        return tally(star.fact, *keys)
+    return star.sums.filter(F.col("grain") == grain).drop("grain", *[key for key in GRAIN_KEYS if key not in keys])
 
 
 def _sum_where(condition: Column, column: Column) -> Column:
@@ -84,7 +79,7 @@ def _compliance(base: str) -> Column:
 
 def operational_overview(star: Star) -> DataFrame:
     """One row of totals, also when there are no tickets."""
-    by_status = tally(star.fact, "status_key").join(
+    by_status = _tally(star, "teams").join(
         star.statuses.select("status_key", _CLOSED), "status_key"
     )
     return by_status.agg(
@@ -103,7 +98,7 @@ def operational_overview(star: Star) -> DataFrame:
 def department_performance(star: Star, compliance_base: str = "closed") -> DataFrame:
     """Workload and resolution per department and division, ranked by volume."""
     by_team = (
-        tally(star.fact, "department_key", "status_key")
+        _tally(star, "teams")
         .join(star.statuses.select("status_key", _CLOSED), "status_key")
         .join(
             star.departments.select("department_key", "department_name", "division_name"),
@@ -141,7 +136,7 @@ def monthly_trends(star: Star, first: int | None = None) -> DataFrame:
     """
     created = F.col("date_key").alias("created_date_key")
     by_month = (
-        tally(star.fact, "created_date_key")
+        _tally(star, "days")
         .join(star.dates.select(created, "year", "month", "month_name"), "created_date_key")
         .groupBy("year", "month", "month_name")
         .agg(
@@ -180,7 +175,7 @@ def places(star: Star) -> DataFrame:
     """The rows of the geographic mart in no order."""
     weight = F.col("n").cast("decimal(18,0)")
     return (
-        tally(star.fact, "location_key")
+        _tally(star, "places")
         .join(star.locations, "location_key")
         .groupBy("district_code", "neighborhood", "region_zone")
         .agg(
@@ -210,7 +205,7 @@ def category_breakdown(star: Star) -> DataFrame:
 def kinds(star: Star) -> DataFrame:
     """The rows of the category mart in no order."""
     return (
-        tally(star.fact, "request_type_key")
+        _tally(star, "kinds")
         .join(star.request_types, "request_type_key")
         .groupBy("request_category", "request_type_name", "priority_level")
         .agg(
@@ -228,12 +223,7 @@ def backlog_aging(
     by: Sequence[str] = ("department_name", "request_category"),
 ) -> DataFrame:
     """Open tickets by age class on `as_of`; the first class takes future dates."""
-    open_statuses = star.statuses.filter(~F.col(_CLOSED)).select("status_key")
-    per_day = (
-        keep_keys(star.fact, open_statuses, "status_key")
-        .groupBy("department_key", "request_type_key", "created_date_key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    per_day = _open_days(star)
     teams = star.departments.select("department_key", "department_name", "division_name")
     aged = (
         per_day.join(teams, "department_key")
@@ -251,6 +241,17 @@ def backlog_aging(
     )
 
 
+def _open_days(star: Star) -> DataFrame:
+    """Open tickets per department, request type and day of creation."""
+    keys = ["department_key", "request_type_key", "created_date_key"]
+    if "is_open" in star.fact.columns:
+        # A folder of its own: closed tickets are not read.
+        opened = star.fact.filter("is_open = 1")
+    else:
+        opened = keep_keys(star.fact, star.statuses.filter(~F.col(_CLOSED)).select("status_key"), "status_key")
+    return opened.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _between(low: int | None, high: int | None) -> Column:
     age = F.col("age")
     if low is None:

@@ -16,6 +16,8 @@ class Star:
     request_types: DataFrame
     departments: DataFrame
     statuses: DataFrame
+    # The sums of the fact at the grains of the marts, if they are stored; those of a part of the fact are not.
+    sums: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """The six tables by name."""
@@ -35,7 +37,9 @@ def keep_keys(fact: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
     A semi join, with the range of the chosen keys as a filter on the scan. Keys
     are numbered in the order of the names and the fact is sorted by keys, so
     parquet skips most of what a department, a category or a district leaves out.
-    Only the two ends of the range are looked up.
+    The two ends of the range are subqueries: Spark runs them when it runs the
+    query, and the scan gets their values.
     """
-    lowest, highest = chosen.agg(F.min(key), F.max(key)).first()
+    # Top rows and not min and max: Spark would merge those into one subquery, whose parts no scan understands.
+    lowest, highest = (chosen.orderBy(order(key)).limit(1).scalar() for order in (F.asc, F.desc))
     return fact.filter(F.col(key).between(lowest, highest)).join(chosen, key, "left_semi")

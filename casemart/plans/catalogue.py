@@ -23,7 +23,7 @@ from casemart.operators.fact import FACT_COLUMNS, build_fact
 from casemart.operators.star import Star
 from casemart.plans.choices import AS_OF, CATEGORY, DEPARTMENT, DISTRICT, PRIORITY
 from casemart.plans.pipeline import run_pipeline
-from casemart.plans.warehouse import Warehouse, build_warehouse, open_views, open_warehouse
+from casemart.plans.warehouse import Warehouse, build_warehouse, one_row, open_views, open_warehouse, write_counted
 from casemart.schema import RAW_COLUMNS
 from casemart.session import sized_shuffles, work_folder
 from casemart.sinks import exports
@@ -139,6 +139,34 @@ def _fact_left_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(fact).withColumns({key: F.col(key).cast("double") for key in keys})
 
 
+def _fact_by_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact by way of resolved combinations of names, as for dimensions too large to broadcast."""
+    ready = prepare(spark, folder)
+    star = ready.star
+    dimensions = (star.locations, star.request_types, star.departments, star.statuses)
+    return comparable(build_fact(ready.staging, *dimensions, dictionary=True))
+
+
+def _observed_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit of staging, counted in the pass that wrote it."""
+    return audit.row_log(one_row(spark, prepare(spark, folder).warehouse.counts("staging")))
+
+
+def _observed_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The null and time checks of raw tickets, counted while they are written once more."""
+    ready = prepare(spark, folder)
+    return audit.row_log(one_row(spark, write_counted(ready.raw, f"{ready.scratch}/counted", audit.row_counts(ready.raw.schema))))
+
+
+def _observed_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The rules that rows of staging and of the fact break by themselves, counted in the passes that wrote them."""
+    warehouse = prepare(spark, folder).warehouse
+    names = ["staging", "fact_service_requests"]
+    rules = {name: integrity.row_rules(name, warehouse.table(name).columns) for name in names}
+    logs = [integrity.rule_log(one_row(spark, warehouse.counts(name)), rules[name]) for name in names]
+    return reduce(DataFrame.unionByName, logs)
+
+
 def _lost_raw(spark: SparkSession, folder: str) -> DataFrame:
     ready = prepare(spark, folder)
     return integrity.check_lost_tickets(ready.raw, ready.star)
@@ -244,12 +272,19 @@ def _document(spark: SparkSession, folder: str, indent: bool) -> DataFrame:
     frames = marts.all_marts(ready.star, AS_OF)
     path = f"{ready.scratch}/payload_{indent}"
     exports.write_payload(frames, path, indent)
-    records = exports.read_payload(spark, path, f"{path}_lines")
-    parts = [
-        cells(section, exports.payload_section(records, section, exports.plain(frames[view]).schema), "position")
+    records = exports.read_payload(spark, path)
+    # Every field of a record as text; the marts' types say which ones are numbers.
+    fields = F.from_json("record", T.MapType(T.StringType(), T.StringType()), {"mode": "FAILFAST"})
+    values = records.select("section", "position", F.explode(fields).alias("field", "value"))
+    texts = [
+        f"{section}.{field.name}"
         for section, view in zip(exports.SECTIONS, marts.VIEWS, strict=True)
+        for field in exports.plain(frames[view]).schema
+        if isinstance(field.dataType, T.StringType)
     ]
-    return reduce(DataFrame.unionByName, parts)
+    is_text = F.concat_ws(".", "section", "field").isin(texts)
+    number, text = F.when(~is_text, F.col("value").cast("double")), F.when(is_text, F.col("value"))
+    return values.select("section", "position", "field", number.alias("number"), text.alias("text"))
 
 
 # What names a record of each section.
@@ -358,6 +393,7 @@ def all_queries() -> dict[str, Query]:
         "dim_department": _on_star(lambda star: star.departments),
         "dim_status": _on_star(lambda star: star.statuses),
         "fact_service_requests": _on_star(lambda star: star.fact.select(*FACT_COLUMNS)),
+        "fact_by_dictionary": _fact_by_dictionary,
         "fact_left_join": _fact_left,
         "fact_left_join_unmatched": _fact_left_unmatched,
         "constraint_unique": _unique,
@@ -370,6 +406,9 @@ def all_queries() -> dict[str, Query]:
         "constraint_fk_holed": _on_star(lambda star: integrity.check_foreign_keys(_holed(star))),
         "constraint_lost_tickets": _lost,
         "constraint_lost_raw": _lost_raw,
+        "observed_audit_log": _observed_log,
+        "observed_audit_raw": _observed_raw,
+        "observed_rules": _observed_rules,
         "constraint_length": lambda spark, folder: integrity.check_text_limits(
             {"staging": prepare(spark, folder).staging, **prepare(spark, folder).star.tables()}
         ),

@@ -588,6 +588,18 @@ def _numbered_rules() -> str:
     )
 
 
+def _row_rules() -> str:
+    """What rows of staging and of the fact break by themselves."""
+    rules = [(f"fact_service_requests.{name}", f"{name} is null") for name in _MANDATORY["fact_service_requests"].split()]
+    parts = [_unpivoted([("fact_service_requests.fact_id", "false"), *rules], "fact")]
+    for table in ["staged", "fact"]:
+        stored, lengths = _ALL_LENGTHS[table]
+        parts.append(_unpivoted([(f"{stored}.{c}", f"length({c}) > {limit}") for c, limit in lengths.items()], table))
+        stored, ranges = _RANGES[table]
+        parts.append(_unpivoted([(f"{stored}.{c}", f"abs({c}) >= 1e{whole}") for c, whole in ranges.items()], table))
+    return " union all ".join(parts)
+
+
 def oracle_queries() -> dict[str, str]:
     """SQL by query name."""
     dim = with_tables
@@ -633,6 +645,10 @@ def oracle_queries() -> dict[str, str]:
         "dim_department": dim("teams", "select * from teams"),
         "dim_status": dim("statuses", "select * from statuses"),
         "fact_service_requests": dim("fact", f"select {_FACT_SELECT} from fact"),
+        "fact_by_dictionary": dim("fact", f"select {_FACT_SELECT} from fact"),
+        "observed_audit_log": dim("staged", f"{_null_check('staged')} union all {_time_check('staged')}"),
+        "observed_audit_raw": dim("raw", f"{_null_check('raw')} union all {_time_check('raw')}"),
+        "observed_rules": dim(f"{_ALL} staged", _row_rules()),
         "fact_left_join": dim(
             "fact",
             f"select {_FACT_SELECT} from ("

@@ -10,26 +10,31 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from casemart.operators import dimensions
+from casemart.operators.audit import row_counts
 from casemart.operators.cleaning import clean
-from casemart.operators.fact import build_fact
-from casemart.operators.integrity import check_unique
+from casemart.operators.fact import flagged_fact
+from casemart.operators.integrity import check_unique, row_rules, rule_counts
 from casemart.operators.marts import register_views
+from casemart.operators.rollup import mart_sums
 from casemart.operators.star import Star
 from casemart.schema import TABLES
+from casemart.session import together
 
 
 # The order of a month's rows: the keys that reports group by, few values first.
 FACT_ORDER = ["status_key", "department_key", "location_key", "request_type_key"]
 
+# What the tables of a version are like; versions from before the first number have none.
+WITH_SUMS = 1
+LAYOUT = WITH_SUMS
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -38,6 +43,7 @@ class Warehouse:
     spark: SparkSession
     root: str
     version: str
+    layout: int = LAYOUT
 
     @property
     def folder(self) -> str:
@@ -53,6 +59,10 @@ class Warehouse:
     def staging(self) -> DataFrame:
         return self.table("staging")
 
+    def counts(self, table: str) -> dict[str, int]:
+        """What was counted in the pass that wrote a table: one row."""
+        return self.spark.read.parquet(self.path(f"counts/{table}")).first().asDict()
+
     def star(self) -> Star:
         return Star(
             fact=self.table("fact_service_requests"),
@@ -61,6 +71,7 @@ class Warehouse:
             request_types=self.table("dim_request_type"),
             departments=self.table("dim_department"),
             statuses=self.table("dim_status"),
+            sums=self.table("mart_sums") if self.layout >= WITH_SUMS else None,
         )
 
 
@@ -70,24 +81,42 @@ def new_version(spark: SparkSession, root: str) -> Warehouse:
     return Warehouse(spark, root.rstrip("/"), f"{moment}-{uuid.uuid4().hex[:8]}")
 
 
-def stage(warehouse: Warehouse, tickets: DataFrame, arrival: Sequence[str]) -> int:
-    """Clean the tickets into the staging table; returns the rows written."""
-    (
+def staging_counts(staging: DataFrame) -> list[Column]:
+    """What the audit and the rules count in staging."""
+    return [*row_counts(staging.schema), *rule_counts(row_rules("staging", staging.columns))]
+
+
+def one_row(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Counts by name, as a table of one row."""
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"`{name}` BIGINT" for name in counts))
+
+
+def write_counted(frame: DataFrame, path: str, counts: list[Column], *folders: str) -> dict[str, int]:
+    """Write a table, and count in the same pass; returns the counts by name.
+
+    The counts are taken where the rows are written, in the job's last stage: there Spark adds up what the
+    successful attempt of each task counted, once.
+    """
+    seen = Observation()
+    frame.observe(seen, *counts).write.mode("overwrite").parquet(path, partitionBy=list(folders) or None)
+    return seen.get
+
+
+def _written(warehouse: Warehouse, frame: DataFrame, table: str, counts: list[Column], *folders: str) -> dict[str, int]:
+    """Write a table of the version, and what was counted in that pass."""
+    found = write_counted(frame, warehouse.path(table), counts, *folders)
+    one_row(warehouse.spark, found).write.mode("overwrite").parquet(warehouse.path(f"counts/{table}"))
+    return found
+
+
+def stage(warehouse: Warehouse, tickets: DataFrame, arrival: Sequence[str]) -> dict[str, int]:
+    """Clean the tickets into the staging table; returns what `staging_counts` counts in the rows written."""
+    staging = (
         clean(tickets, arrival)
         .drop(*arrival)
         .withColumns({"raw_id": F.monotonically_increasing_id(), "ingested_at": F.current_timestamp()})
-        .write.mode("overwrite")
-        .parquet(warehouse.path("staging"))
     )
-    return warehouse.staging().count()
-
-
-def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
-    """Run independent Spark jobs at once, so that one's tail does not idle the rest."""
-    in_session = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        running = [pool.submit(in_session(job)) for job in jobs]
-        return [job.result() for job in running]
+    return _written(warehouse, staging, "staging", staging_counts(staging))
 
 
 def build_dimensions(warehouse: Warehouse) -> DataFrame:
@@ -127,8 +156,9 @@ def build_dimensions(warehouse: Warehouse) -> DataFrame:
     return warehouse.spark.createDataFrame(found, "rule STRING, violations BIGINT")
 
 
-def write_fact(warehouse: Warehouse, how: str = "inner") -> None:
-    """Write the fact, one folder per month of creation.
+def write_fact(warehouse: Warehouse, how: str = "inner") -> dict[str, int]:
+    """Write the fact, one folder per month of creation of open and of closed tickets, and the sums that the marts
+    read; returns what the rules of `row_rules` count in the rows written.
 
     The rebalance hint gathers a month's rows into files of the advisory size,
     and adaptive execution splits a month that is far larger than that. Writing
@@ -139,24 +169,35 @@ def write_fact(warehouse: Warehouse, how: str = "inner") -> None:
         warehouse.table(name)
         for name in ["dim_location", "dim_request_type", "dim_department", "dim_status"]
     ]
-    fact = build_fact(warehouse.staging(), *star_dimensions, how=how)
+    fact = flagged_fact(warehouse.staging(), *star_dimensions, how=how)
     month = F.floor(F.col("created_date_key") / 100).cast("int")
-    (
+    laid_out = (
         fact.withColumn("created_month", month)
-        .hint("rebalance", F.col("created_month"))
-        .sortWithinPartitions("created_month", *FACT_ORDER)
+        .hint("rebalance", F.col("is_open"), F.col("created_month"))
+        .sortWithinPartitions("is_open", "created_month", *FACT_ORDER)
         .withColumns({"fact_id": F.monotonically_increasing_id(), "created_at": F.current_timestamp()})
-        .write.mode("overwrite")
-        .partitionBy("created_month")
-        .parquet(warehouse.path("fact_service_requests"))
     )
+    rules = rule_counts(row_rules("fact_service_requests", laid_out.columns))
+    counts = _written(warehouse, laid_out, "fact_service_requests", rules, "is_open", "created_month")
+    write_sums(warehouse)
+    return counts
+
+
+def write_sums(warehouse: Warehouse) -> None:
+    """Write the sums of the fact at the grains of the marts, one folder per grain."""
+    sums = mart_sums(warehouse.table("fact_service_requests")).hint("rebalance", F.col("grain"))
+    sums.write.mode("overwrite").partitionBy("grain").parquet(warehouse.path("mart_sums"))
 
 
 def publish(warehouse: Warehouse) -> None:
     """Make the version the current one."""
     (
         warehouse.spark.range(1)
-        .select(F.lit(warehouse.version).alias("version"), F.current_timestamp().alias("published_at"))
+        .select(
+            F.lit(warehouse.version).alias("version"),
+            F.current_timestamp().alias("published_at"),
+            F.lit(warehouse.layout).alias("layout"),
+        )
         .write.mode("append")
         .json(f"{warehouse.root}/published")
     )
@@ -176,11 +217,12 @@ def build_warehouse(
 
 def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     """The current version: the one that was published last."""
-    published = spark.read.schema("version STRING, published_at TIMESTAMP").json(f"{root}/published")
-    version = published.agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
-    if version is None:
+    published = spark.read.schema("version STRING, published_at TIMESTAMP, layout INT").json(f"{root}/published")
+    named = F.struct("version", F.coalesce("layout", F.lit(0)).alias("layout"))
+    current = published.agg(F.max_by(named, F.struct("published_at", "version"))).first()[0]
+    if current is None:
         raise ValueError(f"no version is published in {root}")
-    return Warehouse(spark, root.rstrip("/"), version)
+    return Warehouse(spark, root.rstrip("/"), current["version"], current["layout"])
 
 
 def open_views(spark: SparkSession, root: str, as_of: date | str | None = None) -> Warehouse:

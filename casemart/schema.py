@@ -113,7 +113,8 @@ NUMBER_LIMITS = {
 }
 
 # Column types of the stored tables, as DDL. raw_id, fact_id and the load times
-# are added when a table is written; created_month is the fact's partition.
+# are added when a table is written; is_open and created_month are the fact's folders, grain those of
+# the sums of the fact that the marts read.
 TABLES = {
     "staging": (
         "raw_id BIGINT, ticket_number STRING, created_date TIMESTAMP_NTZ, "
@@ -148,6 +149,12 @@ TABLES = {
         "resolution_time_hours DECIMAL(10,2), target_sla_hours DECIMAL(10,2), "
         "sla_variance_hours DECIMAL(10,2), is_sla_breached BOOLEAN, "
         "is_repeat_incident BOOLEAN, satisfaction_rating INT, created_at TIMESTAMP, "
-        "created_month INT"
+        "is_open INT, created_month INT"
+    ),
+    "mart_sums": (
+        "department_key INT, status_key INT, created_date_key INT, location_key INT, "
+        "request_type_key INT, n BIGINT, breaches BIGINT, repeats BIGINT, "
+        "hours_high BIGINT, hours_low BIGINT, n_hours BIGINT, targets_high BIGINT, "
+        "targets_low BIGINT, n_targets BIGINT, ratings BIGINT, n_ratings BIGINT, grain STRING"
     ),
 }

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemart.operators.dimensions import number_rows
 from casemart.operators.marts import VIEWS
 from casemart.schema import RAW, TIMESTAMP_FORMAT
+from casemart.session import together
 
 # The sections of the payload, in the order of the marts.
 SECTIONS = [
@@ -68,9 +68,13 @@ def plain(mart: DataFrame) -> DataFrame:
 
 def write_marts(marts: dict[str, DataFrame], folder: str) -> None:
     """Each mart as a folder of JSON lines, of any size; missing values are null."""
-    for name, mart in marts.items():
+
+    def write(name: str, mart: DataFrame) -> None:
         plain(mart).write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{name}")
 
+    spark = next(iter(marts.values())).sparkSession
+    together(spark, *[partial(write, name, mart) for name, mart in marts.items()])
+
 
 def _section_order(section: str) -> list[Column]:
     return {
@@ -102,6 +106,9 @@ def payload_lines(marts: dict[str, DataFrame], indent: bool = False) -> DataFram
     of records. Each section is sorted by range, so no task holds one, and the
     partitions follow each other in the order of the document. `indent` sets the
     records off from the lines that open and close the lists.
+
+    All records but the first of a section have a comma before them. The first one is the first row of the first range,
+    which is never empty: ranges end at keys that are there, and adaptive execution only joins neighbours.
     """
     frames = {section: plain(marts[view]) for section, view in zip(SECTIONS, VIEWS, strict=True)}
     overview = frames["overview"]
@@ -110,30 +117,29 @@ def payload_lines(marts: dict[str, DataFrame], indent: bool = False) -> DataFram
     parts = [only.select(F.concat(F.lit('{"overview":'), "only", F.lit(",")).alias("line"))]
     for section in SECTIONS[1:]:
         frame = frames[section]
-        order = _section_order(section)
-        # The first record has no comma before it; the least key is one row.
-        place = F.struct(*[column.alias(f"_{k}") for k, column in enumerate(order)])
-        least = frame.select(place.alias("place")).agg(F.min("place")).scalar()
-        comma = F.when(place.eqNullSafe(least), F.lit(" " * indent)).otherwise(F.lit(","))
-        record = F.concat(F.lit("  " * indent), comma, _record(frame))
+        placed = frame.orderBy(*_section_order(section)).select(_record(frame).alias("_record"), F.monotonically_increasing_id().alias("_place"))
+        comma = F.when(F.col("_place") == 0, F.lit(" " * indent)).otherwise(F.lit(","))
         parts.append(_one_line(spark, f'"{section}":['))
-        parts.append(frame.orderBy(*order).select(record.alias("line")))
+        parts.append(placed.select(F.concat(F.lit("  " * indent), comma, "_record").alias("line")))
         parts.append(_one_line(spark, "]}" if section == SECTIONS[-1] else "],"))
     return reduce(DataFrame.union, parts)
 
 
 def write_payload(marts: dict[str, DataFrame], path: str, indent: bool = True) -> None:
     """The payload as text files in the folder `path`; read in the order of their
-    names they are the document."""
+    names they are the document.
+
+    The marts are computed once for the ranges of their sort and once for the rows: give stored ones.
+    """
     payload_lines(marts, indent).write.mode("overwrite").text(path)
 
 
-def read_payload(spark: SparkSession, path: str, scratch: str) -> DataFrame:
+def read_payload(spark: SparkSession, path: str) -> DataFrame:
     """The records of a payload: section, position (from 1), record (JSON text).
 
-    The lines are numbered in the order of the files and the places in them, by
-    way of the folder `scratch`. Only the six lines that open a section reach the
-    driver.
+    Lines are numbered by the number of lines in the stretches of files before theirs and their place in their own; a scan
+    returns the lines of a stretch in order, so nothing is sorted. One row per stretch is summed up in one task, and only
+    the six lines that open a section reach the driver.
     """
     lines = spark.read.text(path).select(
         F.col("value"),
@@ -141,16 +147,19 @@ def read_payload(spark: SparkSession, path: str, scratch: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    numbered = number_rows(lines, ["file", "block", "row"], "line", scratch)
+    stretches = lines.groupBy("file", "block").agg(F.min("row").alias("first_row"), F.count(F.lit(1)).alias("size"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stretches.select("file", "block", "first_row", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    line = (F.col("offset") + F.col("row") - F.col("first_row") + 1).alias("line")
+    numbered = lines.join(offsets, ["file", "block"]).select("value", line)
     opening = F.regexp_extract("value", r'^\{?"(\w+)":', 1)
     opens = numbered.filter(F.col("value").rlike(r'^(\{"overview":|"\w+":\[$)'))
     starts = sorted((row["line"], row["section"]) for row in opens.select("line", opening.alias("section")).collect())
-    section, start = F.lit(None).cast("string"), F.lit(None).cast("int")
-    for line, name in reversed(starts):
-        after = F.col("line") >= line
-        # Later sections were put in first, so they are asked last.
-        section = F.when(after & section.isNull(), F.lit(name)).otherwise(section)
-        start = F.when(after & start.isNull(), F.lit(line)).otherwise(start)
+    section, start = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    for at, name in starts:
+        after = F.col("line") >= at
+        section = F.when(after, F.lit(name)).otherwise(section)
+        start = F.when(after, F.lit(at)).otherwise(start)
     of = numbered.select("line", "value", section.alias("section"), start.alias("start"))
     overview = F.regexp_extract("value", r'^\{"overview":(.*),$', 1)
     record = F.when(F.col("value").startswith('{"overview":'), F.nullif(overview, F.lit("{}"))).when(

@@ -1,11 +1,13 @@
+import re
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from casemart.operators import dimensions, integrity
-from casemart.operators.fact import FACT_COLUMNS
+from casemart.operators import dimensions, integrity, marts, rollup
+from casemart.operators.fact import FACT_COLUMNS, build_fact
 from tickets import DEFAULTS, keyed, numbered, raw, star
 
 START = DEFAULTS["created_date"]
@@ -213,3 +215,47 @@ def test_text_limits(spark):
     limits = integrity.check_text_limits({"staging": raw(spark, *rows)})
     broken = {row["rule"]: row["violations"] for row in limits.collect() if row["violations"]}
     assert broken == {"staging.priority_level": 1}
+
+
+def test_equal_counts_and_other_tickets(spark):
+    """As many rows in the fact as in staging, but two tickets are others; and one is there twice."""
+    rows = numbered(*[{} for _ in range(40)])
+    staging = raw(spark, *rows)
+    other = F.when(F.col("ticket_number").isin("SR-3", "SR-17"), F.lit("SR-other")).otherwise(F.col("ticket_number"))
+    for buckets in [1, 3, 4096]:
+        found = integrity.lost_tickets(staging, staging.withColumn("ticket_number", other), buckets)
+        assert found.first()[0] == 2
+        assert integrity.lost_tickets(staging, staging, buckets).first()[0] == 0
+        assert integrity.lost_tickets(staging.union(staging), staging, buckets).first()[0] == 40
+        assert integrity.lost_tickets(staging, staging.limit(0), buckets).first()[0] == 40
+        assert integrity.lost_tickets(staging.limit(0), staging, buckets).first()[0] == 0
+
+
+def test_equal_buckets_are_not_counted_per_ticket(spark):
+    staging = raw(spark, *numbered(*[{} for _ in range(40)]))
+    found = integrity.lost_tickets(staging, staging)
+    found.collect()
+    ran = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ticket_number" not in "".join(re.findall(r"Exchange hashpartitioning\(([^)]*)", ran)), ran
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_dictionary_gives_the_same_fact(spark, how):
+    rows = numbered({}, {}, {"department_name": None}, {"status": None, "division_name": None}, {"status": "Assigned", "closed_date": None})
+    staging, found = raw(spark, *rows), star(spark, *rows)
+    dimensions = (found.locations, found.request_types, found.departments, found.statuses)
+    facts = [build_fact(staging, *dimensions, how, dictionary) for dictionary in (False, True)]
+    one, other = (sorted(map(str, fact.collect())) for fact in facts)
+    assert one == other and len(one) == (3 if how == "inner" else 5)
+
+
+def test_stored_sums_give_the_same_marts(spark):
+    rows = numbered({}, {"status": "Assigned", "closed_date": None}, {"division_name": "Tugs", "satisfaction_rating": None}, {"status": None})
+    for how in ["inner", "left"]:
+        found = star(spark, *rows, how=how)
+        summed = replace(found, sums=rollup.mart_sums(found.fact))
+        for name, mart in marts.all_marts(summed, "2025-02-01").items():
+            expected = marts.all_marts(found, "2025-02-01")[name]
+            assert sorted(map(str, mart.collect())) == sorted(map(str, expected.collect())), name
+        nothing = replace(found, fact=found.fact.limit(0), sums=rollup.mart_sums(found.fact.limit(0)))
+        assert marts.operational_overview(nothing).first()["total_requests"] == 0
