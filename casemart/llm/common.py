@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -215,5 +216,31 @@ def passes(filter_words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (filter_words[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
 
 
+#: Bits per key of a filter that is sized by its keys, and the most bits that it has (16 MB).
+KEY_BITS, MOST_BITS = 16, 1 << 27
+
+
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that rows (doc_id, row: hash of id and text) does not name.
+
+    Only documents that pass a filter of the named ones are joined, and so shuffled with their texts; the others, nearly all
+    that stay, are passed on as they are read. The filter has KEY_BITS bits per named row, up to MOST_BITS; beyond, more documents
+    pass it and are joined.
+    """
+    named = rows.select("doc_id", "row").distinct()
+    count = named.count()
+    if not count:
+        return docs
+    bits = min(MOST_BITS, 1 << max(10, (KEY_BITS * count - 1).bit_length()))
+    words = docs.sparkSession.sparkContext.broadcast(filter_bits(named, "row", bits))
+
+    @F.pandas_udf("boolean")
+    def may_be_named(row: pd.Series) -> pd.Series:
+        return pd.Series(passes(words.value, row.to_numpy()))
+
+    passed = may_be_named(F.xxhash64("doc_id", "text"))
+    return docs.filter(~passed).union(join_rows(docs.filter(passed), named, "left_anti"))
+
+
 def empty_like(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], T.StructType.fromDDL(schema))

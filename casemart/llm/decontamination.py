@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemart.llm.common import blocks, filter_bits, join_rows, lower_ascii, mixed, passes, raw_text, span_hashes
+from casemart.llm.common import blocks, filter_bits, lower_ascii, mixed, passes, raw_text, span_hashes, stored, without_rows
 
 WINDOW = 5
 LEAST_WORDS = 3
@@ -232,4 +232,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, co
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, consistent: float = CONSISTENT) -> DataFrame:
     """The rows of docs, with all their columns, that hold no benchmark item."""
     found = contaminated(docs, benchmark, cover, consistent, with_row=True)
-    return join_rows(docs, found.select("doc_id", F.col("_row").alias("row")).distinct(), "left_anti")
+    return without_rows(docs, stored(found.select("doc_id", F.col("_row").alias("row")).distinct(), "contaminated"))
