@@ -24,6 +24,7 @@ from casemart.operators.integrity import check_unique, row_rules, rule_counts
 from casemart.operators.marts import register_views
 from casemart.operators.rollup import mart_sums
 from casemart.operators.star import Star
+from casemart.plans.views import define, definitions
 from casemart.schema import TABLES
 from casemart.session import together
 
@@ -32,8 +33,8 @@ from casemart.session import together
 FACT_ORDER = ["status_key", "department_key", "location_key", "request_type_key"]
 
 # What the tables of a version are like; versions from before the first number have none.
-WITH_SUMS = 1
-LAYOUT = WITH_SUMS
+WITH_SUMS, WITH_VIEWS = 1, 2
+LAYOUT = WITH_VIEWS
 
 
 @dataclass(frozen=True)
@@ -190,7 +191,8 @@ def write_sums(warehouse: Warehouse) -> None:
 
 
 def publish(warehouse: Warehouse) -> None:
-    """Make the version the current one."""
+    """Make the version the current one. Its marts are kept with it, as SQL text."""
+    definitions(warehouse.spark).coalesce(1).write.mode("overwrite").json(warehouse.path("views"))
     (
         warehouse.spark.range(1)
         .select(
@@ -226,7 +228,18 @@ def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
 
 
 def open_views(spark: SparkSession, root: str, as_of: date | str | None = None) -> Warehouse:
-    """The current version, with its tables and the six marts as views for spark.sql."""
+    """The current version, with its tables and the six marts as views for spark.sql.
+
+    The marts are those whose text was kept when the version was published; a version from before texts were kept gets
+    today's.
+    """
     warehouse = open_warehouse(spark, root)
-    register_views(warehouse.star(), as_of)
+    star = warehouse.star()
+    if warehouse.layout < WITH_VIEWS:
+        register_views(star, as_of)
+        return warehouse
+    kept = spark.read.schema("name STRING, text STRING").json(warehouse.path("views"))
+    # Six rows.
+    texts = {row["name"]: row["text"] for row in kept.collect()}
+    define(spark, {**star.tables(), "mart_sums": star.sums}, texts, as_of)
     return warehouse

@@ -189,6 +189,28 @@ def test_views_of_a_published_warehouse(spark, run):
     assert spark.table("vw_kpi_operational_overview").first()["total_requests"] == 4
 
 
+def test_views_outlive_the_session_and_follow_what_is_published(spark, run, tmp_path):
+    """A new session reads the marts after one call; the text is the version's own."""
+    root = str(tmp_path / "house")
+    tickets = raw(spark, *ROWS)
+    plans.build_warehouse(spark, tickets, ARRIVAL, root)
+    for rows in [ROWS, [*ROWS, *numbered({}, {})[:1], {"ticket_number": "SR-9", "closed_date": None, "status": "Assigned"}]]:
+        plans.build_warehouse(spark, raw(spark, *rows), ARRIVAL, root)
+        other = spark.newSession()
+        assert not [t for t in other.catalog.listTables() if t.name.startswith("vw_kpi")]
+        star = open_views(other, root, "2025-02-01").star()
+        for name, mart in marts.all_marts(star, "2025-02-01").items():
+            view = other.sql(f"SELECT * FROM {name}")
+            assert dict(view.dtypes) == dict(mart.dtypes), name
+            assert sorted(map(str, view.select(*mart.columns).collect())) == sorted(map(str, mart.collect())), name
+    house = plans.open_warehouse(spark, root)
+    texts = spark.read.json(house.path("views"))
+    changed = texts.withColumn("text", F.when(F.col("name") == marts.VIEWS[0], F.lit("select 7 as total_requests")).otherwise(F.col("text"))).collect()
+    spark.createDataFrame(changed, "name STRING, text STRING").write.mode("overwrite").json(house.path("views"))
+    open_views(other, root)
+    assert other.table(marts.VIEWS[0]).first()["total_requests"] == 7
+
+
 def test_plain_types(spark):
     frame = spark.sql("SELECT DATE'2025-01-01' AS d, 1.50BD AS m, TIMESTAMP_NTZ'2025-01-01 02:03:04' AS t")
     assert tuple(exports.plain(frame).first()) == ("2025-01-01", 1.5, "2025-01-01 02:03:04")
