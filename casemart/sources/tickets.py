@@ -13,7 +13,7 @@ ARRIVAL = ["arrival_file", "arrival_block", "arrival_row"]
 
 # The schema of text files. A column of whole numbers with gaps is often written
 # with decimals, 5.0 for 5.
-_TEXT = T.StructType(
+TEXT = T.StructType(
     [
         T.StructField(field.name, T.DoubleType()) if field.dataType == T.IntegerType() else field
         for field in RAW
@@ -37,13 +37,13 @@ def read_tickets(
     tell empty text from missing text: both are read as NULL.
 
     Line breaks in the text of CSV files: `multiLine=True` reads quoted ones, at
-    the price that a file is not split; `escaped=True` turns the \\n of
+    the price that a file is not split (`quoted.read_quoted_tickets` splits it); `escaped=True` turns the \\n of
     write_tickets back. Without either, a line break in text stops the read. All
     cells of a line are read, whatever columns are selected, so that a query of
     few columns fails as one of all columns does.
     """
     lenient = str(options.get("mode", "FAILFAST")).upper() == "PERMISSIVE"
-    reader = spark.read.schema(RAW if fmt == "parquet" else _TEXT)
+    reader = spark.read.schema(RAW if fmt == "parquet" else TEXT)
     if fmt in ("csv", "json"):
         reader = reader.option("mode", "FAILFAST")
     if fmt == "csv":
@@ -54,7 +54,7 @@ def read_tickets(
         .format(fmt)
         .load(path)
         .select(
-            *[_typed(field, fmt, escaped, lenient).alias(field.name) for field in RAW],
+            *[typed(field, fmt, escaped, lenient).alias(field.name) for field in RAW],
             F.col("_metadata.file_path").alias("arrival_file"),
             F.col("_metadata.file_block_start").alias("arrival_block"),
             F.monotonically_increasing_id().alias("arrival_row"),
@@ -62,7 +62,7 @@ def read_tickets(
     )
 
 
-def _typed(field: T.StructField, fmt: str, escaped: bool, lenient: bool) -> Column:
+def typed(field: T.StructField, fmt: str, escaped: bool = False, lenient: bool = False) -> Column:
     """A column as the fixed schema has it."""
     column = F.col(field.name)
     if fmt != "parquet" and isinstance(field.dataType, T.IntegerType):

@@ -6,7 +6,10 @@ from random import Random
 
 import pytest
 
-from casemart.sources.quoted import csv_records
+from casemart.schema import RAW_COLUMNS
+from casemart.sources.quoted import csv_records, read_quoted_tickets
+from casemart.sources.tickets import read_tickets
+from tickets import DEFAULTS
 
 
 def text_of(rows):
@@ -47,3 +50,26 @@ def test_records_equal_those_of_a_csv_reader(spark, tmp_path, cuts, size):
     assert sorted(next(csv.reader(io.StringIO(r, newline=""))) for r in records) == sorted(rows)
     if size == 64:
         assert spark.read.option("lineSep", "\n").text(str(tmp_path)).rdd.getNumPartitions() > 8
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_tickets_equal_those_of_multi_line(spark, tmp_path, cuts, ending):
+    pandas = pytest.importorskip("pandas")
+    channels = ["plain", "W\nX", 'says "no"\n', None, "a,b\n\nc"]
+    rows = [{**DEFAULTS, "ticket_number": f"SR-{n}", "channel": channels[n % 5], "satisfaction_rating": 5 if n % 3 else None} for n in range(40)]
+    frame = pandas.DataFrame([dict(zip(RAW_COLUMNS, row.values(), strict=True)) for row in rows])
+    frame.to_csv(tmp_path / "tickets.csv", index=False, lineterminator=ending)
+    expected = read_tickets(spark, str(tmp_path), "csv", multiLine=True)
+    whole = sorted(map(str, expected.select(*RAW_COLUMNS).collect()))
+    cuts(600)
+    found = read_quoted_tickets(spark, str(tmp_path))
+    assert found.dtypes == expected.dtypes
+    assert sorted(map(str, found.select(*RAW_COLUMNS).collect())) == whole
+    order = [row["ticket_number"] for row in found.orderBy("arrival_file", "arrival_block", "arrival_row").collect()]
+    assert order == [f"SR-{n}" for n in range(40)]
+
+
+def test_other_headers_stop_the_read(spark, tmp_path):
+    (tmp_path / "tickets.csv").write_text("one,two\n1,2\n", encoding="utf-8")
+    with pytest.raises(Exception, match="malformed header"):
+        read_quoted_tickets(spark, str(tmp_path)).collect()
