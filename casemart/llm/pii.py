@@ -1,17 +1,22 @@
 """PII (op 9): information-theoretic sanitisation over corpus co-occurrence.
 
 1. Direct identifiers (email, ip, card, phone) are found by the base patterns. Each distinct value is a protected entity e.
-2. Words within `NEAR` words of an entity are its context. For a word t, the corpus gives how many documents hold it,
-   n(t), how many hold it near e, n(e,t), and how many hold e, n(e), of N documents.
+   Entities that stand in the same documents are told apart by no word, so they are one class and counted once.
+2. A word t co-occurs with e in a document that holds both, at any distance. The corpus gives how many documents hold t, n(t), hold e,
+   n(e), and hold both, n(e,t), of N documents.
 3. t reveals log2(N n(e,t) / (n(e) n(t))) bits of the log2(N / n(e)) bits that name e. Their ratio is the disclosure: 1 if every document
-   with t has e near it, 0 if t says nothing of e. Only words near e in `SUPPORT` different contexts count, so that copies
-   of one document are not taken for evidence.
-4. In documents that hold e, words whose disclosure reaches `REMOVE` are removed, and those that reach `GENERALISE` are replaced
-   by their kind. Direct identifiers are always replaced.
-
-Counts are over all documents. n(t) is counted for the words of step 3 only: a filter of fixed size (`FILTER_BITS`) sent to the
-tasks lets other words pass over, and the exact join follows. Contexts are aggregated before they are shuffled, so an
-entity that many documents hold costs a row per context and task. Disclosing words meet the texts by joins on the entity.
+   with t holds e, 0 if t says nothing of e.
+4. Only what chance does not explain is judged. Of the m different texts that hold e, k hold t, where m n(t) / N would by chance; the
+   probability of k or more is bounded (the smaller of Markov's and Chernoff's bounds). Times (1 + distance)^2, the least distance of t
+   from e in words, it must be at most `CHANCE`: words far from e need more evidence, and as these weights have a finite sum,
+   long texts don't add words without end. Copies are one text.
+5. Words whose disclosure reaches `REMOVE` for some entity are removed, and those that reach `GENERALISE` are replaced by their
+   kind, in every document that holds them, whether or not it holds the entity. Direct identifiers are always replaced.
+
+Counts are over all documents. A word can reach `GENERALISE` only if n(t) <= N^(1-GENERALISE) n(e)^GENERALISE; filters of such words,
+one for each power of 4 of n(e), keep others from being paired with entities. n(t) is counted for words of documents with
+entities only. Filters are sized by the words that they hold, up to `MOST_BITS` each; exact joins follow. Pairs are aggregated
+before they are shuffled, so an entity that many documents hold costs a row per word and task.
 
 Null and empty texts have no spans. Repeated rows are searched each and counted each. Other columns are not read by
 `personal_data`, and kept by `sanitise`.
@@ -20,6 +25,7 @@ Null and empty texts have no spans. Repeated rows are searched each and counted
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -29,13 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemart.llm.common import blocks, filter_bits, free_name, join_rows, lower_ascii, mixed, passes, raw_text, span_hashes, stored
+from casemart.llm.common import KEY_BITS, blocks, filter_bits, free_name, join_rows, lower_ascii, passes, raw_text, span_hashes, stored
 
-NEAR = 6
-SUPPORT = 3
+CHANCE = 0.02
 GENERALISE = 0.8
 REMOVE = 0.95
-FILTER_BITS = 1 << 20
+#: The most bits of a filter of words (4 MB), and rows of pairs that a task sends on at one time.
+MOST_BITS = 1 << 25
+PAIR_ROWS = 1 << 16
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Kinds of the spans that the method adds.
@@ -140,23 +147,6 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def _contexts(text: str, spans: list[Span]) -> list[tuple[int, int, int]]:
-    """Entity, term and context of the terms near the direct identifiers of a text."""
-    starts, ends, hashes = _text_terms(text)
-    free = np.ones(len(starts), bool)
-    for _, a, b in spans:
-        free &= (ends <= a) | (starts >= b)
-    starts, hashes = starts[free], hashes[free]
-    out = set()
-    for kind, a, b in spans:
-        middle = int(np.searchsorted(starts, a))
-        around = hashes[max(0, middle - NEAR) : middle + NEAR]
-        name = _entity(kind, text[a:b])
-        context = int(mixed(np.array([mixed(around.view(np.uint64) + np.arange(len(around), dtype=np.uint64)).sum(dtype=np.uint64)]))[0].view(np.int64))
-        out.update((name, term, context) for term in around.tolist())
-    return sorted(out)
-
-
 def _found(docs: DataFrame) -> DataFrame:
     """doc_id, _key (names the row's id and text), kinds, starts, ends, entities of each row, and the text where it has any."""
 
@@ -187,9 +177,43 @@ def _spans_of(row: dict) -> list[Span]:
     return list(zip(row["kinds"], row["starts"], row["ends"]))
 
 
+def _filter(df: DataFrame, column: str, keys: int) -> np.ndarray:
+    """A filter of the hashes in a column, sized by how many they are."""
+    return filter_bits(df, column, min(MOST_BITS, 1 << max(10, (KEY_BITS * keys - 1).bit_length())))
+
+
+def _free_terms(text: str, spans: list[Span]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the terms of a text outside its direct identifiers."""
+    starts, ends, hashes = _text_terms(text)
+    # Identifiers of one kind don't overlap; those of all kinds are laid over each other.
+    covered = np.zeros(len(text) + 1, np.int64)
+    for _, a, b in spans:
+        covered[a] += 1
+        covered[b] -= 1
+    inside = np.concatenate([[0], np.cumsum(np.cumsum(covered[:-1]) > 0)])
+    free = inside[ends] == inside[starts]
+    return starts[free], ends[free], hashes[free]
+
+
+def _texts_with_entities(found: DataFrame) -> DataFrame:
+    """text_key, copies, text, kinds, starts, ends, entities of the different texts that hold direct identifiers."""
+    own = ["text", "kinds", "starts", "ends", "entities"]
+    held = found.filter("text IS NOT NULL").withColumn("text_key", F.xxhash64("text"))
+    return held.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in own])
+
+
+def entity_classes(texts: DataFrame) -> DataFrame:
+    """entity, klass, n_entity, texts: entities that stand in the same texts have the same class, named by a hash of these."""
+    single = texts.select("text_key", "copies", F.explode(F.array_distinct("entities")).alias("entity"))
+    held = single.groupBy("entity").agg(
+        F.sum("copies").alias("n_entity"), F.count(F.lit(1)).alias("texts"), F.sum(F.xxhash64("text_key").cast("decimal(38,0)")).alias("sum")
+    )
+    return held.select("entity", F.xxhash64("n_entity", "texts", "sum").alias("klass"), "n_entity", "texts")
+
+
 def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """term, n: in how many documents each of the terms stands, over all documents."""
-    bits = docs.sparkSession.sparkContext.broadcast(filter_bits(terms, "term", FILTER_BITS))
+    """term, n_term: in how many documents each of the terms stands, over all documents."""
+    bits = docs.sparkSession.sparkContext.broadcast(_filter(terms, "term", terms.count()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -199,77 +223,136 @@ def _documents_with(docs: DataFrame, terms: DataFrame) -> DataFrame:
             found, n = np.unique(pairs[:, 1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["term", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     return counted.join(terms, "term", "left_semi")
 
 
-def disclosures(docs: DataFrame, found: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """entity, term, disclosure of the terms that stand near an entity in `support` different contexts."""
+def _terms_of(texts: DataFrame) -> DataFrame:
+    """The different terms of texts, outside direct identifiers."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            rows: list[tuple[int, int, int]] = []
-            for row in block.to_pylist():
-                rows += _contexts(row["text"], _spans_of(row))
-            columns = list(zip(*rows)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["entity", "term", "context"])
-
-    held = found.filter("text IS NOT NULL")
-    near = held.select("kinds", "starts", "ends", "text").mapInArrow(emit, "entity long, term long, context long")
-    near = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
-    near = near.groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("contexts"))
-    near = stored(near.filter(F.col("contexts") >= support), "near")
-    if near.isEmpty():
-        return near.select("entity", "term", F.lit(0.0).alias("disclosure"))
-    total = found.count()
-    entities = held.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = _documents_with(docs, near.select("term").distinct()).withColumnRenamed("n", "n_term")
-    both = near.join(terms, "term").join(entities, "entity")
-    together = F.least("together", "n_term", "n_entity")
-    bits = F.log2(F.lit(float(total)) * together / (F.col("n_entity") * F.col("n_term")))
-    whole = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    return both.select("entity", "term", F.when(whole > 0, bits / whole).otherwise(F.lit(0.0)).alias("disclosure"))
-
-
-def _added(found: DataFrame, revealing: DataFrame, generalise: float, remove: float) -> DataFrame:
-    """doc_id, _key, added spans of the texts in which terms disclose an entity that they hold."""
-    pairs = found.filter("text IS NOT NULL").select("doc_id", "_key", F.explode(F.array_distinct("entities")).alias("entity"))
-    terms = pairs.join(revealing.filter(F.col("disclosure") >= generalise), "entity").groupBy("doc_id", "_key").agg(
-        F.collect_set(F.when(F.col("disclosure") >= remove, F.col("term"))).alias("remove"), F.collect_set("term").alias("terms")
-    )
-    texts = found.filter("text IS NOT NULL").select("doc_id", "_key", "kinds", "starts", "ends", "text").dropDuplicates(["doc_id", "_key"])
-    rows = texts.join(terms.withColumnRenamed("doc_id", "_doc").withColumnRenamed("_key", "_own"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_own")))
+            parts = [_free_terms(row["text"], _spans_of(row))[2] for row in block.to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(parts)), pa.int64())], names=["term"])
+
+    return texts.select("text", "kinds", "starts", "ends").mapInArrow(emit, "term long").distinct()
+
+
+def _nearest(hashes: np.ndarray, held: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different terms at the places `held`, and the least distance of each from the sorted places of an entity."""
+    after = np.searchsorted(places, held, "left")
+    left = np.abs(held - places[np.maximum(after - 1, 0)])
+    right = np.abs(places[np.minimum(after, len(places) - 1)] - held)
+    order = np.argsort(hashes[held], kind="stable")
+    terms, first = np.unique(hashes[held][order], return_index=True)
+    return terms, np.minimum.reduceat(np.minimum(left, right)[order], first) if len(terms) else np.zeros(0, np.int64)
+
+
+def _pairs(texts: DataFrame, classes: DataFrame, filters: dict[int, np.ndarray]) -> DataFrame:
+    """klass, term, together (documents), both (texts), distance of the classes and terms that stand in one document."""
+    kept = texts.sparkSession.sparkContext.broadcast(filters)
+    places = texts.select("text_key", F.posexplode("entities").alias("at", "entity")).join(classes, "entity")
+    places = places.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("at", "klass", "tier"))).alias("classes"))
+    rows = texts.select("text_key", "copies", "text", "kinds", "starts", "ends").join(places, "text_key")
+    names = ["klass", "term", "copies", "distance"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple] = []
+        size = 0
         for block in blocks(batches):
-            out: list[list[dict]] = []
             for row in block.to_pylist():
-                starts, ends, hashes = _text_terms(row["text"])
-                hit = np.isin(hashes, np.array(row["terms"], np.int64))
-                gone = np.isin(hashes, np.array(row["remove"], np.int64))
-                for _, a, b in _spans_of(row):
-                    hit &= (ends <= a) | (starts >= b)
-                out.append([{"kind": ADDED[int(gone[i])], "start": int(starts[i]), "end": int(ends[i])} for i in np.flatnonzero(hit)])
-            kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([block.column("_doc"), block.column("_own"), pa.array(out, kind)], names=["_doc", "_own", "added"])
+                starts, _, hashes = _free_terms(row["text"], _spans_of(row))
+                before: dict[tuple[int, int], list[int]] = {}
+                for c in row["classes"]:
+                    before.setdefault((c["klass"], c["tier"]), []).append(row["starts"][c["at"]])
+                held = {tier: np.flatnonzero(passes(kept.value[tier], hashes)) for tier in {tier for _, tier in before}}
+                for (klass, tier), begins in before.items():
+                    terms, distance = _nearest(hashes, held[tier], np.searchsorted(starts, np.sort(begins)))
+                    if len(terms):
+                        parts.append((np.full(len(terms), klass), terms, np.full(len(terms), row["copies"]), distance))
+                        size += len(terms)
+                    if size >= PAIR_ROWS:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)], names=names)
+                        parts, size = [], 0
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)], names=names)
+
+    near = rows.drop("text_key").mapInArrow(emit, "klass long, term long, copies long, distance long")
+    return near.groupBy("klass", "term").agg(F.sum("copies").alias("together"), F.count(F.lit(1)).alias("both"), F.min("distance").alias("distance"))
+
+
+def disclosures(docs: DataFrame, texts: DataFrame, classes: DataFrame, chance: float = CHANCE, generalise: float = GENERALISE) -> DataFrame:
+    """klass, term, disclosure of the terms that disclose `generalise` or more of a class of entities, chance aside.
+
+    texts: _texts_with_entities; classes: entity_classes, both stored.
+    """
+    total = float(docs.count())
+    tier = F.ceil(F.log("n_entity") / math.log(4) - 1e-9).cast("int")
+    classes = classes.withColumn("tier", tier)
+    tiers = sorted(row[0] for row in classes.select("tier").distinct().collect())  # powers of 4 of a count: at most 32
+    if not tiers:
+        return docs.sparkSession.createDataFrame([], "klass long, term long, disclosure double")
+    terms = stored(_documents_with(docs, stored(_terms_of(texts), "terms")), "counted")
+    most = {t: total ** (1 - generalise) * 4.0 ** (t * generalise) * (1 + 1e-9) for t in tiers}
+    sizes = terms.agg(*[F.sum((F.col("n_term") <= most[t]).cast("long")) for t in tiers]).first()
+    filters = {t: _filter(terms.filter(F.col("n_term") <= most[t]), "term", n or 1) for t, n in zip(tiers, sizes)}
+    near = _pairs(texts, classes, filters)
+    groups = classes.groupBy("klass").agg(F.first("n_entity").alias("n_entity"), F.first("texts").alias("texts"))
+    both = near.join(terms, "term").join(groups, "klass")
+    bits = F.log2(F.lit(total) * F.col("together") / (F.col("n_entity") * F.col("n_term")))
+    whole = F.log2(F.lit(total) / F.col("n_entity"))
+    by_chance = F.col("texts") * F.col("n_term") / F.lit(total)
+    chernoff = F.exp(F.col("both") - by_chance + F.col("both") * F.log(by_chance / F.col("both")))
+    bound = F.least(by_chance / F.col("both"), F.when(F.col("both") > by_chance, chernoff).otherwise(F.lit(1.0)))
+    both = both.filter(bound * F.pow(1.0 + F.col("distance"), 2) <= chance)
+    both = both.select("klass", "term", F.when(whole > 0, bits / whole).otherwise(F.lit(0.0)).alias("disclosure"))
+    return both.filter(F.col("disclosure") >= generalise)
+
+
+def _added(docs: DataFrame, revealing: DataFrame, count: int) -> DataFrame:
+    """_doc, _own, added: spans of revealing terms (term, removed) in every text that holds them, outside direct identifiers."""
+    bits = docs.sparkSession.sparkContext.broadcast(_filter(revealing, "term", count))
+    names = ["_doc", "_own", "term", "start", "end"]
 
-    id_type = found.schema["doc_id"].dataType.simpleString()
-    columns = rows.select("_doc", "_own", "kinds", "starts", "ends", "text", "terms", "remove")
-    return columns.mapInArrow(emit, f"_doc {id_type}, _own long, added array<struct<kind:string,start:long,end:long>>")
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            column = block.column("text")
+            _, _, hashes, owner = term_spans(*raw_text(column))
+            rows, spans = [], []
+            for i in np.unique(owner[passes(bits.value, hashes)]).tolist():
+                text = column[i].as_py()
+                starts, ends, own = _free_terms(text, base_spans(text))
+                hit = passes(bits.value, own)
+                rows.append(np.full(int(hit.sum()), i))
+                spans.append((own[hit], starts[hit], ends[hit]))
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                every = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*spans)]
+                yield pa.RecordBatch.from_arrays([block.column("doc_id").take(at), block.column("_key").take(at), *every], names=names)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_key"), "text")
+    found = keyed.mapInArrow(emit, f"_doc {kind}, _own long, term long, start long, end long").join(revealing, "term")
+    span = F.struct(F.when(F.col("removed"), F.lit(ADDED[1])).otherwise(F.lit(ADDED[0])).alias("kind"), "start", "end")
+    return found.groupBy("_doc", "_own").agg(F.collect_set(span).alias("added"))  # repeated rows have the same spans
 
 
-def _all_spans(docs: DataFrame, support: int, generalise: float, remove: float) -> DataFrame:
+def _all_spans(docs: DataFrame, chance: float, generalise: float, remove: float) -> DataFrame:
     """Each row's doc_id and _key with its base spans and the added ones."""
     found = stored(_found(docs), "personal")
-    revealing = disclosures(docs, found, support).filter(F.col("disclosure") >= generalise)
+    texts = stored(_texts_with_entities(found), "holders")
+    classes = stored(entity_classes(texts), "entities")
+    revealing = disclosures(docs, texts, classes, chance, generalise).groupBy("term").agg((F.max("disclosure") >= remove).alias("removed"))
     revealing = stored(revealing, "revealing")
     base = F.arrays_zip(F.col("kinds").alias("kind"), F.col("starts").alias("start"), F.col("ends").alias("end"))
     rows = found.select("doc_id", "_key", base.alias("base"))
-    if revealing.isEmpty():
-        return rows.withColumn("added", F.expr("CAST(array() AS array<struct<kind:string,start:long,end:long>>)"))
-    added = _added(found, revealing, generalise, remove)
+    none = F.expr("CAST(array() AS array<struct<kind:string,start:bigint,end:bigint>>)")
+    count = revealing.count()
+    if not count:
+        return rows.withColumn("added", none)
     on = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_own"))
-    return rows.join(added, on, "left").drop("_doc", "_own")
+    joined = rows.join(_added(docs, revealing, count), on, "left").drop("_doc", "_own")
+    return joined.withColumn("added", F.coalesce("added", none))
 
 
 def _texts(spans) -> F.Column:
@@ -287,10 +370,10 @@ def _by_start(spans):
     return F.array_sort(keyed)
 
 
-def personal_data(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def personal_data(docs: DataFrame, chance: float = CHANCE, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """doc_id, n_<kind> of the base kinds, base_sha256, spans of each row of docs (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    rows = _all_spans(docs, support, generalise, remove)
+    rows = _all_spans(docs, chance, generalise, remove)
     counts = [F.size(F.filter(F.transform("base", lambda s: s["kind"]), _same(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     every = F.when(F.size("added") > 0, _texts(_by_start(F.concat("base", "added")))).otherwise(_texts(F.col("base")))
     return rows.select("doc_id", *counts, F.sha2(_texts(F.col("base")), 256).alias("base_sha256"), every.alias("spans"))
@@ -308,10 +391,10 @@ def clean_text(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def sanitise(docs: DataFrame, chance: float = CHANCE, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """docs, all columns, with sanitised text."""
     names = docs.columns
-    spans = _all_spans(docs.select("doc_id", "text"), support, generalise, remove)
+    spans = _all_spans(docs.select("doc_id", "text"), chance, generalise, remove)
     every = F.when(F.size("added") > 0, F.concat("base", "added")).otherwise(F.col("base"))
     spans = spans.select("doc_id", F.col("_key").alias("row"), _by_start(every).alias("_spans"))
     spans = spans.filter(F.size("_spans") > 0).dropDuplicates(["doc_id", "row"])
