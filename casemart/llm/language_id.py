@@ -5,12 +5,15 @@ features, as (1 + log tf) * idf, scaled to length 1. Each language has up to `CE
 k-means, so that a language of several registers is not averaged away. The language of the nearest centroid by cosine is
 predicted. A text that is farther from its centroid than nearly all that made it (`REJECT_SHARE` of them) is rejected.
 
-Document frequencies come from all training rows. The clustering sees about `SAMPLE_PER_LANGUAGE` training rows per
-language, chosen by a hash of their id (a documented bound); languages are clustered side by side in Spark. Only the
-centroids and one count per feature reach the driver.
-
-Null texts and texts without a letter are `und` with score 0. Repeated rows are predicted alike. Without training rows every
-text is `und`. Rows with a null lang, or a null id, aren't learned from. Other columns are not read.
+Document frequencies come from all training rows. The clustering sees at most `SAMPLE_PER_LANGUAGE` different training rows per
+language (a documented bound), those with the smallest hash of id and text: all if there are no more, and as many as that
+otherwise, however ids and rows repeat. Hashes are sampled without the texts, which are read for the chosen ones only and sent
+on as vectors, so a language's group is bounded whatever the lengths of its texts. Languages are clustered side by side in
+Spark. Only the centroids, one count per feature and the number of languages reach the driver.
+
+Null texts and texts without a letter are `und` with score 0. Repeated rows are predicted alike and clustered once. Without
+training rows every text is `und`. Rows with a null lang aren't learned from; those with a null id are, by their text. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -22,10 +25,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemart.llm.common import blocks, raw_text
+from casemart.llm.common import KEY_BITS, MOST_BITS, blocks, filter_bits, passes, raw_text, stored
 
 DIMENSIONS = 4096
 CENTROIDS = 4
@@ -43,11 +47,8 @@ _PLAIN[128:] = np.arange(128, 256)
 
 def features(column: pa.Array, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
     """The feature of every trigram within a word, and the text it is in."""
-    data, offsets = raw_text(column)
+    data, offsets = raw_text(pc.utf8_lower(column))
     plain = _PLAIN[data]
-    if len(plain) > 1:  # the capitals of Latin-1 in UTF-8
-        capital = (plain[:-1] == 0xC3) & (plain[1:] >= 0x80) & (plain[1:] <= 0x9E) & (plain[1:] != 0x97)
-        plain[1:][capital] += 0x20
     padded = np.concatenate([np.full(1, 32, np.uint8), plain, np.full(1, 32, np.uint8)])
     x = padded.astype(np.uint32)
     codes = (x[:-2] << 16) | (x[1:-1] << 8) | x[2:]
@@ -130,24 +131,55 @@ def _document_frequencies(train: DataFrame, dimensions: int) -> tuple[np.ndarray
     return out[:-1], int(out[-1])
 
 
+def sampled(train: DataFrame, sample: int) -> DataFrame:
+    """lang, place, text: of each language the `sample` different rows (doc_id, text) with the smallest hashes, or all.
+
+    Hashes with many leading zeros are few: a count of the different ones per number of zeros tells where the wanted ones
+    begin, with a margin for its error, and only those beyond are ranked.
+    """
+    place = F.xxhash64("doc_id", "text", F.lit(17))
+    placed = train.select("lang", place.alias("place"), "text")
+    # The 63 upper bits as a number; its zeros at the front.
+    narrow = placed.select("lang", "place").withColumn("zeros", 63 - F.length(F.bin(F.shiftrightunsigned("place", 1))))
+    levels = narrow.groupBy("lang", "zeros").agg(F.approx_count_distinct("place").alias("n"))
+    deeper = levels.withColumn("held", F.sum("n").over(Window.partitionBy("lang").orderBy(F.desc("zeros"))))
+    least = deeper.groupBy("lang").agg(F.coalesce(F.max(F.when(F.col("held") >= 2 * sample, F.col("zeros"))), F.lit(0)).alias("least"))
+    few = narrow.join(least, "lang").filter("zeros >= least").select("lang", "place").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("place", 1), "place"))
+    chosen = stored(few.withColumn("rank", rank).filter(F.col("rank") <= sample).select("lang", "place"), "sample")
+    count = chosen.count()
+    bits = min(MOST_BITS, 1 << max(10, (KEY_BITS * count - 1).bit_length())) if count else 1 << 10
+    words = train.sparkSession.sparkContext.broadcast(filter_bits(chosen, "place", bits))
+
+    @F.pandas_udf("boolean")
+    def may_be_chosen(place: pd.Series) -> pd.Series:
+        return pd.Series(passes(words.value, place.to_numpy()))
+
+    # Rows that pass are few, so texts are shuffled for them only; one of equal rows stays.
+    rows = placed.filter(may_be_chosen("place")).join(chosen, ["lang", "place"], "left_semi")
+    return rows.groupBy("lang", "place").agg(F.first("text").alias("text"))
+
+
 def fit(train: DataFrame, dimensions: int = DIMENSIONS, centroids: int = CENTROIDS, sample: int = SAMPLE_PER_LANGUAGE) -> Model:
     """A model from the rows of train (doc_id, text, lang)."""
-    train = train.filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "lang")
+    train = train.filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     frequency, rows = _document_frequencies(train, dimensions)
     idf = (np.log((1 + rows) / (1 + frequency)) + 1).astype(np.float32)
-    sizes = {row["lang"]: row["n"] for row in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
+    if not rows:
         return Model([], idf, np.zeros((0, dimensions), np.float32), np.zeros(0, np.float32))
-    # A share of each language's rows by hash, so that about `sample` of them are taken, wherever they lie.
-    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30))
-    chosen = F.lit(False)
-    for language, n in sorted(sizes.items()):
-        chosen = chosen | ((F.col("lang") == language) & (place < int(min(1.0, sample / n) * (1 << 30))))
+
+    def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            for start, tf in counts(block.column("text"), dimensions):
+                x = vectors(tf, idf)
+                part = block.slice(start, len(x))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("lang"), part.column("place"), pa.array([v.astype("<f4").tobytes() for v in x], pa.binary())], names=["lang", "place", "vector"]
+                )
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "text"], ignore_index=True)
-        column = pa.array(pdf["text"], pa.string())
-        x = np.concatenate([vectors(tf, idf) for _, tf in counts(column, dimensions)])
+        pdf = pdf.sort_values("place", ignore_index=True)
+        x = np.frombuffer(b"".join(pdf["vector"]), "<f4").reshape(-1, dimensions)
         x = x[np.linalg.norm(x, axis=1) > 0.5]  # the others have no letter
         if not len(x):
             return pd.DataFrame({"lang": [], "centroid": [], "least": []})
@@ -156,7 +188,8 @@ def fit(train: DataFrame, dimensions: int = DIMENSIONS, centroids: int = CENTROI
         least = [float(np.quantile(cosine[own == j], REJECT_SHARE)) if (own == j).any() else 1.0 for j in range(len(means))]
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [m.astype("<f4").tobytes() for m in means], "least": least})
 
-    found = train.filter(chosen).groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, least double").collect()
+    embedded = sampled(train, sample).select("lang", "place", "text").mapInArrow(embed, "lang string, place long, vector binary")
+    found = embedded.groupBy("lang").applyInPandas(cluster, "lang string, centroid binary, least double").collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
     stacked = np.array([np.frombuffer(r["centroid"], "<f4") for r in found], np.float32).reshape(-1, dimensions)
     return Model([r["lang"] for r in found], idf, stacked, np.array([r["least"] for r in found], np.float32))

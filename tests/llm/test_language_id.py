@@ -79,3 +79,28 @@ def test_trigrams_do_not_cross_texts():
     apart = [list(L.counts(pa.array([t], pa.string()), 256))[0][1][0] for t in ["ab", "cd é", None, "x"]]
     together = next(L.counts(pa.array(["ab", "cd é", None, "x"]), 256))[1]
     assert (np.stack(apart) == together).all()
+
+
+def test_the_sample_is_bounded_and_complete(spark):
+    """One id for a whole language, rows repeated a thousand times, null ids: each language has its share of different rows."""
+    rows = [(7, speech("aa", k), "aa") for k in range(400)] + [(8, speech("bb", 1), "bb")] * 1000 + [(k, speech("bb", k), "bb") for k in range(5)]
+    rows += [(None, speech("cc", k), "cc") for k in range(50)] + [(k, speech("cc", k), "dd") for k in range(3000)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sizes = {}
+    for r in L.sampled(train, 40).collect():
+        sizes.setdefault(r["lang"], []).append(r["text"])
+    # The row of id 8 and that of id 1 have one text; the others are all different.
+    assert {k: len(v) for k, v in sizes.items()} == {"aa": 40, "bb": 6, "cc": 40, "dd": 40}
+    again = L.sampled(train.repartition(5), 40)
+    assert sorted((r["lang"], r["text"]) for r in again.collect()) == sorted((k, t) for k, v in sizes.items() for t in v)
+    assert set(fitted(spark, rows).languages) == {"aa", "bb", "cc", "dd"}
+
+
+def test_capitals_of_other_scripts():
+    import pyarrow as pa
+
+    for text in ["Съешь Ещё Этих Мягких Булок", "Ξεσκεπάζω Την Ψυχοφθόρα", "Žluťoučký Kůň Ąę", "Été À Öl", "Plain Words"]:
+        upper, lower = (next(L.counts(pa.array([t]), 4096))[1] for t in (text.upper(), text.lower()))
+        if "Ξ" not in text:  # capital sigma has two small forms, and accents are dropped in capitals
+            assert (upper == lower).all(), text
+        assert (next(L.counts(pa.array([text]), 4096))[1] == lower).all(), text
