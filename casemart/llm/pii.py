@@ -7,9 +7,9 @@
 3. t reveals log2(N n(e,t) / (n(e) n(t))) bits of the log2(N / n(e)) bits that name e. Their ratio is the disclosure: 1 if every document
    with t holds e, 0 if t says nothing of e.
 4. Only what chance does not explain is judged. Of the m different texts that hold e, k hold t, where m n(t) / N would by chance; the
-   probability of k or more is bounded (the smaller of Markov's and Chernoff's bounds). Times (1 + distance)^2, the least distance of t
-   from e in words, it must be at most `CHANCE`: words far from e need more evidence, and as these weights have a finite sum,
-   long texts don't add words without end. Copies are one text.
+   probability of k or more is bounded (the smaller of Markov's and Chernoff's bounds). Times 2^distance, the least distance of t
+   from e in words, it must be at most `CHANCE`: words far from e need more evidence. The weights have a finite sum, and a word
+   that stands beside e once is judged within a distance that grows with log N only. Copies are one text.
 5. Words whose disclosure reaches `REMOVE` for some entity are removed, and those that reach `GENERALISE` are replaced by their
    kind, in every document that holds them, whether or not it holds the entity. Direct identifiers are always replaced.
 
@@ -304,7 +304,7 @@ def disclosures(docs: DataFrame, texts: DataFrame, classes: DataFrame, chance: f
     by_chance = F.col("texts") * F.col("n_term") / F.lit(total)
     chernoff = F.exp(F.col("both") - by_chance + F.col("both") * F.log(by_chance / F.col("both")))
     bound = F.least(by_chance / F.col("both"), F.when(F.col("both") > by_chance, chernoff).otherwise(F.lit(1.0)))
-    both = both.filter(bound * F.pow(1.0 + F.col("distance"), 2) <= chance)
+    both = both.filter(F.log2(F.greatest(bound, F.lit(1e-300))) + F.col("distance") <= math.log2(chance))
     both = both.select("klass", "term", F.when(whole > 0, bits / whole).otherwise(F.lit(0.0)).alias("disclosure"))
     return both.filter(F.col("disclosure") >= generalise)
 

@@ -58,7 +58,7 @@ def plain(rows, chance=pii.CHANCE, generalise=pii.GENERALISE, remove=pii.REMOVE)
         bound = min(by_chance / k, math.exp(k - by_chance) * (by_chance / k) ** k if k > by_chance else 1.0)
         whole = math.log2(total / n_e)
         d = math.log2(total * together[g, w] / (n_e * n_term[w])) / whole if whole > 0 else 0.0
-        if bound * (1 + distance[g, w]) ** 2 <= chance and d >= generalise - 1e-12:
+        if bound * 2.0 ** distance[g, w] <= chance and d >= generalise - 1e-12:
             best[w] = max(best.get(w, 0), d)
     spans = {}
     for _, t in rows:
