@@ -144,7 +144,8 @@ def sampled(train: DataFrame, sample: int) -> DataFrame:
     levels = narrow.groupBy("lang", "zeros").agg(F.approx_count_distinct("place").alias("n"))
     deeper = levels.withColumn("held", F.sum("n").over(Window.partitionBy("lang").orderBy(F.desc("zeros"))))
     least = deeper.groupBy("lang").agg(F.coalesce(F.max(F.when(F.col("held") >= 2 * sample, F.col("zeros"))), F.lit(0)).alias("least"))
-    few = narrow.join(least, "lang").filter("zeros >= least").select("lang", "place").distinct()
+    # One row per language, where the model that is sent to all tasks has several centroids per language.
+    few = narrow.join(F.broadcast(least), "lang").filter("zeros >= least").select("lang", "place").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("place", 1), "place"))
     chosen = stored(few.withColumn("rank", rank).filter(F.col("rank") <= sample).select("lang", "place"), "sample")
     count = chosen.count()
