@@ -41,7 +41,7 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_links(table(spark, sf_dir, "documents"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,8 +30,9 @@ links as materialized (
 reach as (
     select doc_id, doc_id as other from sets
     union select reach.doc_id, links.b from reach join links on reach.other = links.a)
-select doc_id, cast(len(s) as bigint) as n_shingles, component_id
-from sets join (select doc_id, min(other) as component_id from reach group by doc_id) using (doc_id)"""
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id, coalesce(n_links, 0) as n_links
+from sets join (select doc_id, min(other) as component_id from reach group by doc_id) using (doc_id)
+left join (select a as doc_id, count(*) as n_links from links group by a) using (doc_id)"""
 
 
 _TRIE = r"""
@@ -69,7 +70,8 @@ left join nodes p on n.depth > 0 and p.node = n.node[1 : n.depth - 1]"""
 _FILTERS = r"""
 with read as (
     select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
-        regexp_extract_all(coalesce(text, ''), '[^ 	-]+') as w from documents),
+        regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') as w from documents),
 smallest as (select text, min(doc_id) as least from read group by text),
 said as (select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic
     from labels where doc_id is not null group by doc_id),
