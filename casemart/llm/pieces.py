@@ -22,7 +22,7 @@ MEMO_PIECES = 3_000_000
 #: Longer texts are cut, in characters.
 SEGMENT_CHARS = 1 << 18
 #: Characters of short texts that are encoded together.
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 19
 
 _SAFE_CUT = re.compile("(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?= [A-Za-zÀ-ÖØ-öø-ÿ])")
 _SPACE, _BLANK, _LETTER, _DIGIT, _OTHER = 1, 2, 3, 4, 5
