@@ -46,6 +46,8 @@ COVER = 0.6
 CONSISTENT = 0.8
 LEAST_TERMS = 3
 LEAST_REACH = 8
+#: Bytes of text that a task holds as arrays of terms at one time; a longer text is a block of its own.
+TEXT_BYTES = 1 << 19
 #: Bits of the filter for each window of the benchmark, up to MOST_BITS; one in KEY_BITS of the other windows passes it.
 KEY_BITS = 512
 
@@ -165,7 +167,7 @@ def _windows(rows: DataFrame, bits=None, literal: bool = False, short: Sequence[
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, limit=TEXT_BYTES):
             template = Template(block.column("text"))
             terms, reach = np.diff(template.first), template.reach() if bits is None else None
             for size in (WINDOW, *short):
