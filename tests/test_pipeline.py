@@ -354,6 +354,24 @@ def test_shuffles_grow_with_the_input(spark, tmp_path):
         assert number == 8
 
 
+def test_scans_take_no_more_than_a_partition_into_a_task(spark, tmp_path):
+    raw(spark, *ROWS * 50).repartition(6).write.parquet(str(tmp_path / "in"))
+    tickets = spark.read.parquet(str(tmp_path / "in"))
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    with session.sized_shuffles(tickets):
+        assert int(spark.conf.get(setting)) == session.BYTES_PER_PARTITION < 1 << 25
+    with session.sized_shuffles(tickets, bytes_per_partition=2000):
+        assert clean(tickets, ARRIVAL).drop(*ARRIVAL).distinct().count() == clean(raw(spark, *ROWS), ARRIVAL).count()
+        assert tickets.filter("true").rdd.getNumPartitions() >= 6
+        # Never raised.
+        with session.sized_shuffles(tickets, bytes_per_partition=1 << 30):
+            assert spark.conf.get(setting) == "2000"
+    with session.sized_shuffles(tickets, bytes_per_partition=1, most_partitions=2):
+        assert int(spark.conf.get(setting)) > 2000
+    assert spark.conf.get(setting) == before
+
+
 def test_work_folder_is_the_one_the_session_names(spark):
     assert work_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
