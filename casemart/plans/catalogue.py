@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import threading
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
@@ -26,7 +25,7 @@ from casemart.plans.choices import AS_OF, CATEGORY, DEPARTMENT, DISTRICT, PRIORI
 from casemart.plans.pipeline import run_pipeline
 from casemart.plans.warehouse import Warehouse, build_warehouse, one_row, open_views, open_warehouse, write_counted
 from casemart.schema import RAW_COLUMNS
-from casemart.session import sized_shuffles, work_folder
+from casemart.session import lower_splits, sized_shuffles, work_folder
 from casemart.sinks import exports
 from casemart.sources.derived import ARRIVAL, derive_tickets
 from casemart.sources.tickets import read_tickets
@@ -79,6 +78,8 @@ def prepare(spark: SparkSession, folder: str) -> Prepared:
             with sized_shuffles(derive_tickets(spark, folder)):
                 raw = land_tickets(spark, folder)
                 warehouse = build_warehouse(spark, raw, ARRIVAL, f"{scratch}/warehouse")
+            # The queries run later, when the block above is over.
+            lower_splits(raw)
             _prepared[key] = Prepared(scratch, raw, warehouse)
         return _prepared[key]
 
@@ -112,19 +113,6 @@ def _on_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: comparable(build(prepare(spark, folder).raw))
 
 
-def _written_from_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
-    """The tickets that `build` makes of the raw ones, written with scans and shuffles of their size, and read back."""
-
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        ready = prepare(spark, folder)
-        rows, path = build(ready.raw), f"{ready.scratch}/kept/{uuid.uuid4().hex}"
-        with sized_shuffles(ready.raw):
-            rows.write.parquet(path)
-        return comparable(spark.read.schema(rows.schema).parquet(path))
-
-    return query
-
-
 def _on_staging(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: comparable(build(prepare(spark, folder).staging))
 
@@ -390,10 +378,10 @@ def all_queries() -> dict[str, Query]:
                 "ticket_number", *ARRIVAL, *cleaning.STRIPPED
             )
         ),
-        "dedup_keep_first": _written_from_raw(
+        "dedup_keep_first": _on_raw(
             lambda raw: cleaning.keep_first(raw, ARRIVAL).select(*RAW_COLUMNS)
         ),
-        "clean_tickets": _written_from_raw(_clean),
+        "clean_tickets": _on_raw(_clean),
         "dq_null_checks": _on_raw(audit.check_nulls),
         "dq_timestamp_logic": _on_raw(audit.check_time_order),
         "dq_uniqueness": _on_raw(audit.check_uniqueness),

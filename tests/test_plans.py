@@ -9,6 +9,7 @@ from casemart.operators import cleaning, dimensions, drilldown, integrity, marts
 from casemart.operators.fact import build_fact
 from casemart.operators.star import keep_keys
 from casemart.plans import catalogue
+from casemart.session import BYTES_PER_PARTITION, lower_splits
 from casemart.sources.derived import ARRIVAL, derive_tickets
 
 
@@ -222,3 +223,18 @@ def test_derived_tickets_read_only_what_they_use(spark, folder):
     text = full_plan(spark, derive_tickets(spark, folder))
     for column in ["l_discount", "l_linestatus", "o_totalprice", "c_name", "c_acctbal", "p_name"]:
         assert column not in " ".join(re.findall(r"ReadSchema: struct<([^>]*)>", text))
+
+
+def test_queries_that_run_later_scan_no_more_than_a_partition(spark, ready):
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "256m")
+        lower_splits(ready.raw)
+        assert int(spark.conf.get(setting)) == BYTES_PER_PARTITION < 1 << 25
+        # Never raised.
+        lower_splits(ready.raw, bytes_per_partition=5000)
+        lower_splits(ready.raw)
+        assert spark.conf.get(setting) == "5000"
+    finally:
+        spark.conf.set(setting, before)
