@@ -1,3 +1,5 @@
+import time
+
 from corpus import EDGES, clashing, frame, prose
 
 from casemart.llm import common as C
@@ -20,3 +22,20 @@ def test_without_rows_is_an_anti_join(spark, monkeypatch):
     # Another text under the same id stays.
     other = frame(spark, [(3, "another text")])
     assert C.without_rows(other, named).count() == 1
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    before = files()
+    kept = C.stored(spark.range(5000).repartition(4, "id").groupBy((C.F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(C.CLEANUP, None) != "true"
+    assert sum(r["count"] for r in kept.collect()) == 5000
