@@ -25,7 +25,7 @@ from casemart.plans.choices import AS_OF, CATEGORY, DEPARTMENT, DISTRICT, PRIORI
 from casemart.plans.pipeline import run_pipeline
 from casemart.plans.warehouse import Warehouse, build_warehouse, one_row, open_views, open_warehouse, write_counted
 from casemart.schema import RAW_COLUMNS
-from casemart.session import lower_splits, sized_shuffles, work_folder
+from casemart.session import lower_splits, shuffles_released, sized_shuffles, work_folder
 from casemart.sinks import exports
 from casemart.sources.derived import ARRIVAL, derive_tickets
 from casemart.sources.tickets import read_tickets
@@ -75,7 +75,7 @@ def prepare(spark: SparkSession, folder: str) -> Prepared:
     with _lock:
         if key not in _prepared:
             scratch = scratch_folder(spark, folder)
-            with sized_shuffles(derive_tickets(spark, folder)):
+            with sized_shuffles(derive_tickets(spark, folder)), shuffles_released(spark):
                 raw = land_tickets(spark, folder)
                 warehouse = build_warehouse(spark, raw, ARRIVAL, f"{scratch}/warehouse")
             # The queries run later, when the block above is over.

@@ -29,7 +29,7 @@ from casemart.plans.warehouse import (
     stage,
     write_fact,
 )
-from casemart.session import BYTES_PER_PARTITION, MOST_PARTITIONS, sized_shuffles, together
+from casemart.session import BYTES_PER_PARTITION, MOST_PARTITIONS, shuffles_released, sized_shuffles, together
 from casemart.sinks.exports import write_marts, write_payload
 from casemart.sources.tickets import ARRIVAL, read_tickets
 
@@ -75,7 +75,8 @@ def run_pipeline(
     """
     if isinstance(source, str):
         source, arrival = read_tickets(spark, source, fmt), ARRIVAL
-    with sized_shuffles(source, bytes_per_partition, most_partitions):
+    # Every table of a run is written when its query ends, so no later query needs a shuffle.
+    with sized_shuffles(source, bytes_per_partition, most_partitions), shuffles_released(spark):
         return _run(spark, source, root, as_of, export, arrival, how, months)
 
 

@@ -392,3 +392,19 @@ def test_command_line(spark, tmp_path, capsys):
     assert not any("lost tickets" in line for line in lines)
     assert "Total Requests Processed: 4" in lines
     assert open_warehouse(spark, house).star().fact.count() == 4
+
+
+def shuffle_blocks(spark):
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks().iterator()
+    found = set()
+    while blocks.hasNext():
+        name = blocks.next().name()
+        if name.startswith("shuffle_"):
+            found.add(name)
+    return found
+
+
+def test_a_run_leaves_no_shuffle_files(spark, tmp_path):
+    before = shuffle_blocks(spark)
+    run_pipeline(spark, raw(spark, *ROWS), str(tmp_path / "house"), "2025-02-01", arrival=ARRIVAL)
+    assert not shuffle_blocks(spark) - before
